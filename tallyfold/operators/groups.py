@@ -7,12 +7,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyfold.functions.clean import quoted
+from tallyfold.functions.clean import exact_sum, quoted
 from tallyfold.operators.joins import left_join_on
 
 
 def group_sum(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.sum(value).alias(out))
+    return df.groupBy(*keys).agg(exact_sum(df, value).alias(out))
 
 
 def group_totals(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
@@ -35,7 +35,7 @@ def with_group_totals(
 
 def global_total(df: DataFrame, value: str, out: str) -> DataFrame:
     """One row with the sum over all rows."""
-    return df.agg(F.sum(value).alias(out))
+    return df.agg(exact_sum(df, value).alias(out))
 
 
 def distinct_keys(df: DataFrame, *keys: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyfold.functions.clean import half, quoted, ratio
+from tallyfold.functions.clean import half, quoted, ratio, to_units, from_units
 from tallyfold.functions.dates import (
     days_in_month,
     fiscal_start_of,
@@ -102,7 +102,9 @@ def period_measures(
     """One row per key and billed month with every asked-for period and measure.
 
     bills     lines or any pre-aggregate of them that keeps the bill date
-    measures  suffix -> decimal column; period columns are named period + suffix
+    measures  suffix -> decimal column; period columns are named period + suffix.
+              Sums run on whole units of the last decimal place as bigint, which is
+              exact and fails rather than wraps beyond 9.2e18 units
     end_rule  where LYMTD, L1MTD and L2MTD end for the current month: 'shifted' on
               the same day of the earlier month, 'as_of' on `as_of` itself, which
               spans all months in between
@@ -127,6 +129,7 @@ def period_measures(
         first_used = fiscal_start_of(floor)
         bills = bills.filter(F.col(date) >= F.lit(first_used.replace(year=first_used.year - 1)))
 
+    scales = {s: bills.schema[c].dataType.scale for s, c in measures.items()}
     needed = set().union(*[_PARTS[p] for p in periods])
     if "LYMTD" in periods and ly_rule != "shifted":
         needed |= {"whole", "own"} if ly_rule == "as_of" else {"own", "ly"}
@@ -137,11 +140,9 @@ def period_measures(
     sums = []
     for part in sorted(needed):
         for suffix, column in measures.items():
-            x = quoted(column)
+            x = to_units(quoted(column), scales[suffix])
             kept = x if part == "whole" else F.when(tests[part], x)
-            zero = F.lit(0).cast("decimal(38,2)")
-            total = F.coalesce(F.sum(kept).cast("decimal(38,2)"), zero)
-            sums.append(total.alias(f"__{part}{suffix}"))
+            sums.append(F.coalesce(F.sum(kept), F.lit(0)).alias(f"__{part}{suffix}"))
     if "LYMTD" in periods and ly_rule == "reuse":
         sums.append(F.max(tests["ly"].cast("int")).alias("__ly_billed"))
     months = bills.groupBy(
@@ -157,16 +158,15 @@ def period_measures(
     def back(column: str, first: int, last: int) -> Column:
         """Sum of a column over the months `first` to `last` before this one."""
         frame = by_month.rangeBetween(-first, -last)
-        return F.coalesce(F.sum(column).over(frame), F.lit(0).cast("decimal(38,2)"))
+        return F.coalesce(F.sum(column).over(frame), F.lit(0))
 
     def through(column: str, n: int) -> Column:
         """Sum over this fiscal year (moved back n months) before this month."""
-        zero = F.lit(0).cast("decimal(38,2)")
         upto = F.sum(column).over(by_month.rangeBetween(Window.unboundedPreceding, -n - 1))
         years = F.sum(column).over(
             by_year.rangeBetween(Window.unboundedPreceding, -1 - n // 12)
         )
-        return F.coalesce(upto, zero) - F.coalesce(years, zero)
+        return F.coalesce(upto, F.lit(0)) - F.coalesce(years, F.lit(0))
 
     def to_as_of(n: int, whole: str, own: str, plain: Column) -> Column:
         return F.when(is_current, back(whole, n, 1) + F.col(own)).otherwise(plain)
@@ -181,15 +181,13 @@ def period_measures(
                 shifted = end_rule == "shifted"
                 values[f"L{n}MTD"] = plain if shifted else to_as_of(n, whole, own, plain)
         if "L2MMTD" in periods:
-            values["L2MMTD"] = half(values["L1MTD"] + values["L2MTD"])
+            values["L2MMTD"] = values["L1MTD"] + values["L2MTD"]
         if "MTD" in periods:
             values["MTD"] = F.col(own)
         if "LYMTD" in periods:
             if ly_rule == "reuse":
                 billed = F.max("__ly_billed").over(by_month.rangeBetween(-12, -12)) == 1
-                values["LYMTD"] = F.when(billed, back(own, 12, 12)).otherwise(
-                    F.lit(0).cast("decimal(38,2)")
-                )
+                values["LYMTD"] = F.when(billed, back(own, 12, 12)).otherwise(F.lit(0))
             else:
                 plain = back(f"__ly{suffix}", 12, 12)
                 is_shifted = ly_rule == "shifted"
@@ -199,7 +197,7 @@ def period_measures(
         if "LMMTD" in periods:
             values["LMMTD"] = back(f"__lm{suffix}", 1, 1)
         if "L2M" in periods:
-            values["L2M"] = half(back(whole, 2, 1))
+            values["L2M"] = back(whole, 2, 1)
         if "YTD" in periods:
             this = F.when(is_current, F.col(own)).otherwise(F.col(whole))
             values["YTD"] = through(whole, 0) + this
@@ -218,10 +216,20 @@ def period_measures(
         result = result.withColumns({c: F.last(quoted(c)).over(latest) for c in labelled})
     if floor is not None:
         result = result.filter(month >= F.lit(floor.replace(day=1)))
+    averages = ("L2MMTD", "L2M")
+
+    def finished(period: str, suffix: str) -> Column:
+        value = from_units(quoted(period + suffix), scales[suffix])
+        if period in averages:
+            value = half(value)
+        elif scales[suffix] > 2:
+            value = F.round(value, 2)
+        return value.alias(period + suffix)
+
     return result.select(
         *[quoted(k) for k in keys],
         "billing_month",
-        *[F.round(quoted(c), 2).cast("decimal(38,2)").alias(c) for c in out],
+        *[finished(p, s) for s in measures for p in periods],
     )
 
 

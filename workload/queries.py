@@ -20,9 +20,7 @@ from tallyfold.sources.curated import ingest, read_table, write_table
 from workload.inputs import (
     AS_OF,
     FLOOR,
-    GROUP_OF_PRIORITY,
     bills,
-    coded,
     decimal,
     extracts,
     headers,
@@ -421,7 +419,9 @@ def focus_brand_tag(spark, sf):
     totals = groups.group_sum(
         state_bills(spark, sf), ["region", "product_brand"], "billing_amount", "total"
     )
-    return register.focus_tag(totals, extracts(spark, sf)["focus_brand"])
+    return register.focus_tag(
+        totals, register.focus_brands(extracts(spark, sf)["focus_brand"])
+    )
 
 
 # Period measures
@@ -612,7 +612,7 @@ def group_text(spark, sf):
 def all_reports(spark, sf):
     contact = {"nsm_name_lit": "head office", "nsm_email_lit": "head@office.example"}
     options = reports.ReportOptions(as_of=AS_OF, floor=FLOOR, contact=contact)
-    return reports.build_reports(spark, extracts(spark, sf), options)
+    return reports.Reports(spark, extracts(spark, sf), options)
 
 
 @query
