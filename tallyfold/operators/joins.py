@@ -75,3 +75,23 @@ def lookup_one(
 def with_scalar(df: DataFrame, one_row: DataFrame, name: str) -> DataFrame:
     """Attach the single value of a one-row, one-column DataFrame to every row."""
     return df.withColumn(name, one_row.scalar())
+
+
+def period_join(
+    anchors: DataFrame, bills: DataFrame, keys: Sequence[str], date: str, first: str, last: str
+) -> DataFrame:
+    """Inner join of anchors with the bills of the same key dated in [first, last].
+
+    Each anchor meets bills only in the months its window touches, as an equi-join on
+    key and month; the exact dates are tested within them. For the measures of
+    `period_measures`, which need no such join, use that operator.
+    """
+    months = F.sequence(
+        F.trunc(quoted(first), "month"), F.trunc(quoted(last), "month"), F.expr("interval 1 month")
+    )
+    windows = anchors.filter(quoted(first) <= quoted(last)).withColumn("__month", F.explode(months))
+    dated = bills.withColumn("__month", F.trunc(quoted(date), "month"))
+    joined = windows.alias("a").join(dated.alias("b"), [*keys, "__month"], "inner")
+    return joined.filter(
+        F.col(f"b.`{date}`").between(F.col(f"a.`{first}`"), F.col(f"a.`{last}`"))
+    ).drop("__month")

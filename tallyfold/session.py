@@ -15,6 +15,8 @@ SESSION_OPTIONS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split hot join keys also where a later step then has to shuffle again.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 

@@ -329,10 +329,11 @@ SELECT business_segment, {day_text('billing_date')} AS billing_date, billing_doc
          ROWS UNBOUNDED PRECEDING)''')} AS running
 FROM bills"""
 
-ORACLES["pareto_brand_fy"] = f"""
+def pareto_sql(by: str) -> str:
+    return f"""
 WITH {BILLS},
 t AS (
-  SELECT {fy('billing_date')} AS fiscal_year, product_brand, sum(billing_amount) AS total
+  SELECT {fy('billing_date')} AS fiscal_year, {by}, sum(billing_amount) AS total
   FROM bills GROUP BY ALL
 ),
 c AS (
@@ -340,11 +341,15 @@ c AS (
          sum(total) OVER (PARTITION BY fiscal_year) AS whole
   FROM t
 )
-SELECT fiscal_year, product_brand, {dbl('total')} AS total_amount, {dbl('upto')} AS cumulative_sum,
+SELECT fiscal_year, {by}, {dbl('total')} AS total_amount, {dbl('upto')} AS cumulative_sum,
        {dbl('upto')} / {dbl('whole')} * 100 AS cumulative_perc,
        CASE WHEN {dbl('upto')} / {dbl('whole')} * 100 <= 80 THEN '80' ELSE '20' END AS pareto
 FROM c"""
 
+
+ORACLES["pareto_brand_fy"] = pareto_sql("product_brand")
+ORACLES["pareto_customer_fy"] = pareto_sql("customer_code")
+
 ORACLES["pareto_line"] = f"""
 WITH {BILLS},
 c AS (
@@ -472,6 +477,17 @@ def series_query(*names: str, **changed: tuple[str, str]) -> str:
     return period_query(BILLS, "bills", SERIES, windows, names)
 
 
+ORACLES["window_join"] = f"""
+WITH {BILLS},
+daily AS (
+  SELECT customer_code, billing_date, sum(billing_amount) AS amount FROM bills GROUP BY ALL
+)
+SELECT a.customer_code, {day_text('a.billing_date')} AS last, {dbl('sum(b.amount)')} AS amount,
+       count(*) AS days
+FROM daily a JOIN daily b ON a.customer_code = b.customer_code
+  AND b.billing_date BETWEEN a.billing_date - 45 AND a.billing_date
+GROUP BY ALL"""
+
 ORACLES["mtd"] = series_query("MTD")
 ORACLES["lymtd_shifted"] = series_query("LYMTD")
 ORACLES["lymtd_asof_end"] = series_query("LYMTD", LYMTD=(shift("m", -12), as_of_end(12)))

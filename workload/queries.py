@@ -375,14 +375,12 @@ def brand_contribution(spark, sf):
 
 @query
 def cumulative_by_year(spark, sf):
-    """Brand totals by falling amount within the fiscal year, in whole thousands so
+    """Customer totals by falling amount within the fiscal year, in whole thousands so
     that equal totals occur."""
     full = bills(spark, sf).withColumn("fiscal_year", dates.fiscal_year(F.col("billing_date")))
     totals = groups.group_sum(full, ["fiscal_year", "customer_code"], "billing_amount", "raw")
     coarse = totals.withColumn("total", F.floor(F.col("raw") / 1000)).drop("raw")
-    run = running.cumulative_sum(
-        coarse, ["fiscal_year"], [F.col("total").desc()], "total", "cumulative"
-    )
+    run = running.cumulative_sum(coarse, ["fiscal_year"], "total", "total", "cumulative")
     return running.partition_total(run, ["fiscal_year"], "total", "year_total")
 
 
@@ -404,6 +402,14 @@ def pareto_brand_fy(spark, sf):
     return pareto.pareto(full, "product_brand", "billing_amount", "fiscal_year")
 
 
+@query
+def pareto_customer_fy(spark, sf):
+    full = bills(spark, sf).withColumn("fiscal_year", dates.fiscal_year(F.col("billing_date")))
+    return pareto.pareto(
+        full, "customer_code", "billing_amount", "fiscal_year", few_groups=False
+    )
+
+
 @query
 def pareto_line(spark, sf):
     slim = bills(spark, sf).select(
@@ -427,6 +433,22 @@ def focus_brand_tag(spark, sf):
 # Period measures
 
 
+@query
+def window_join(spark, sf):
+    """Sales of each customer's bill days in the 45 days up to them."""
+    daily = groups.group_sum(
+        bills(spark, sf), ["customer_code", "billing_date"], "billing_amount", "amount"
+    )
+    day = F.col("billing_date")
+    anchors = daily.select(
+        "customer_code", F.date_sub(day, 45).alias("first"), day.alias("last")
+    )
+    joined = joins.period_join(anchors, daily, ["customer_code"], "billing_date", "first", "last")
+    return joined.groupBy("customer_code", "last").agg(
+        F.sum("amount").alias("amount"), F.count("*").alias("days")
+    )
+
+
 def measure(spark, sf, keys, *names, **options):
     source = state_bills(spark, sf) if "state" in keys else bills(spark, sf)
     return periods.period_measures(source, keys, "billing_date", MEASURES, AS_OF, names, **options)
@@ -590,6 +612,7 @@ def budget_achievement(spark, sf):
         F.explode(F.array(F.lit("PROMO"), F.lit("SMALL"), F.lit(None))).alias("segment"),
         text(F.abs(F.floor(F.col("c_acctbal") / 1000))).alias("Monthly Budget"),
     )
+    rows = B.budget_rows(budget, "segment")
     segment = F.when(F.col("business_segment") != "LARGE", F.col("business_segment"))
     sales = B.cut_day_sums(
         bills(spark, sf).withColumn("business_segment", segment),
@@ -597,7 +620,7 @@ def budget_achievement(spark, sf):
         "billing_date",
         "billing_amount",
     )
-    return B.budget_achievement(B.budget_calendar(budget, AS_OF), sales, AS_OF)
+    return B.budget_achievement(B.budget_calendar(rows, AS_OF), sales, AS_OF)
 
 
 # Masters and the register
