@@ -1,0 +1,156 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyfold.functions import classify as C
+from tallyfold.functions import clean, dates
+
+
+def values(df, *cols):
+    return [tuple(r[c] for c in cols) for r in df.collect()]
+
+
+def one(spark, rows, schema, expr):
+    return [r[0] for r in spark.createDataFrame(rows, schema).select(expr).collect()]
+
+
+def test_trim_and_strip_zeros(spark):
+    df = spark.createDataFrame(
+        [(" 000123 ", "000.50"), ("0", "0012 x"), (None, "")], "`a.b` string, c string"
+    )
+    both = clean.strip_zeros(clean.trim_all(df), "all")
+    assert values(both, "a.b", "c") == [("123", ".50"), ("", "12 x"), (None, "")]
+    keys = clean.strip_zeros(clean.trim_all(df), ["a.b"])
+    assert values(keys, "c") == [("000.50",), ("0012 x",), ("",)]
+
+
+def test_clean_decimal(spark):
+    texts = ["1,234.50", "-5.25", "5-", " 7 ", "", None, "abc", "$1,000", "-$3.005", "1 2"]
+    rows = [(t,) for t in texts]
+    signed = one(spark, rows, "x string", clean.clean_decimal(F.col("x")))
+    assert signed == [
+        Decimal(v)
+        for v in ("1234.50", "-5.25", "-5.00", "7.00", "0.00", "0.00", "0.00", "1000.00", "-3.01", "0.00")
+    ]
+    bare = one(spark, rows, "x string", clean.clean_decimal(F.col("x"), keep_sign=False, default=None))
+    assert bare == [
+        None if v is None else Decimal(v)
+        for v in ("1234.50", "5.25", "5.00", "7.00", None, None, None, "1000.00", "3.01", None)
+    ]
+
+
+def test_names_and_literals(spark):
+    df = spark.createDataFrame([("x", "y")], "`mrp/cb` string, b string")
+    assert clean.sanitise_names(df).columns == ["mrp_cb", "b"]
+    assert clean.rename(df, {"b": "c", "gone": "d"}).columns == ["mrp/cb", "c"]
+    assert clean.move_column(df, "mrp/cb", "z").columns == ["b", "z"]
+    assert clean.with_literals(df, {"k": ""}).first()["k"] == ""
+    assert clean.drop_columns(df, "b").columns == ["mrp/cb"]
+
+
+def test_fill_null_takes_the_column_type(spark):
+    df = spark.createDataFrame([(None, None), ("5", 1)], "t string, n int")
+    assert values(clean.fill_null(df, 0, ["t", "n"]), "t", "n") == [("0", 0), ("5", 1)]
+
+
+def test_arithmetic(spark):
+    df = spark.createDataFrame([(3, 0), (-3, 2)], "a int, b int")
+    got = df.select(
+        clean.ratio(F.col("a"), F.col("b")),
+        clean.negate(F.col("a")),
+        clean.add(F.col("a"), F.col("b")),
+        clean.scale(F.col("a"), 100),
+        clean.half(F.col("a").cast("decimal(18,2)") / 100),
+    ).collect()
+    assert [tuple(r) for r in got] == [
+        (None, -3, 3, 0.03, Decimal("0.02")),
+        (-1.5, 3, -1, -0.03, Decimal("-0.02")),
+    ]
+
+
+def test_exact_sum_equals_the_decimal_sum(spark):
+    df = spark.range(1000).select((F.col("id") * F.lit(Decimal("-0.07"))).cast("decimal(18,2)").alias("x"))
+    got = df.agg(clean.exact_sum(df, "x").alias("a"), F.sum("x").alias("b")).first()
+    assert got.a == got.b
+
+
+def test_price_bucket(spark):
+    texts = [None, "", "4", "5", "9", "10", "11", "20", "20.5", "21", "200", "201", "5.00", "n/a"]
+    want = ["NA", "NA", "NA", "5", "NA", "10", "11-20", "11-20", "11-20", "21-30", "191-200",
+            ">200", "5", "NA"]
+    assert one(spark, [(t,) for t in texts], "x string", C.price_bucket(F.col("x"))) == want
+    exact = one(spark, [("20.5",), ("21",)], "x string", C.price_bucket(F.col("x"), floor=False))
+    assert exact == ["NA", "21-30"]
+
+
+def test_age_bucket(spark):
+    days = [None, -1, 0, 30, 31, 45, 46, 60, 61, 75, 76, 90, 91, 120, 121]
+    want = ["Not Applicable"] * 2 + [
+        f"{label}_days" for label in ("0-30", "31-45", "46-60", "61-75", "76-90", "91-120")
+        for _ in range(2)
+    ] + ["More than 120 days"]
+    assert one(spark, [(d,) for d in days], "x int", C.age_bucket(F.col("x"))) == want
+
+
+def test_flags_and_codes(spark):
+    rows = [("01",), ("1",), ("x",), ("",), (None,)]
+    flagged = one(spark, rows, "x string", C.code_flag(F.col("x"), 1, "blocked", "unblocked"))
+    assert flagged == ["blocked", "blocked", "unblocked", "unblocked", "unblocked"]
+    marks = one(spark, [(" X ",), ("",), (None,)], "x string", C.regex_flag(F.col("x"), "X", "y", "n"))
+    assert marks == ["y", "n", "n"]
+    groups = [(["A", "B"], "one"), (["B", "C"], "two")]
+    mapped = one(spark, [("A",), ("B",), ("C",), (None,)], "x string", C.map_codes(F.col("x"), groups, "other"))
+    assert mapped == ["one", "one", "two", "other"]
+    merged = one(spark, [(" BISC",), ("CAKE",), (None,)], "x string",
+                 C.merge_codes(F.col("x"), ["BISC", "COOK"], "both"))
+    assert merged == ["both", "CAKE", None]
+
+
+def test_signed_amount(spark):
+    rows = [(5.0, "RE"), (-5.0, "RE"), (5.0, "F2"), (None, "RE")]
+    got = one(spark, rows, "a double, t string", C.signed_amount(F.col("a"), F.col("t"), ["RE"]))
+    assert got == [-5.0, -5.0, 5.0, None]
+
+
+def test_has_elements(spark):
+    got = one(spark, [([1],), ([],), (None,)], "x array<int>", C.has_elements(F.col("x")))
+    assert got == [True, False, False]
+
+
+def test_dates(spark):
+    rows = [(dt.date(2024, 4, 30),), (dt.date(2024, 3, 31),), (dt.date(2025, 2, 28),)]
+    d = F.col("d")
+    assert one(spark, rows, "d date", dates.fiscal_year(d)) == [2024, 2023, 2024]
+    assert one(spark, rows, "d date", dates.fiscal_start(d)) == [
+        dt.date(2024, 4, 1), dt.date(2023, 4, 1), dt.date(2024, 4, 1)]
+    assert one(spark, rows, "d date", dates.shift_months(d, -1)) == [
+        dt.date(2024, 3, 30), dt.date(2024, 2, 29), dt.date(2025, 1, 28)]
+    assert one(spark, rows, "d date", dates.shift_months(d, -12, "snap")) == [
+        dt.date(2023, 4, 30), dt.date(2023, 3, 31), dt.date(2024, 2, 29)]
+    assert one(spark, rows, "d date", dates.month_label(d)) == ["Apr-24", "Mar-24", "Feb-25"]
+    assert one(spark, rows, "d date", dates.days_in_month(d)) == [30, 31, 28]
+    with pytest.raises(ValueError):
+        dates.shift_months(d, -1, "other")
+
+
+def test_parse_date_is_safe(spark):
+    rows = [("20240430",), ("",), ("x",), (None,), ("20241345",)]
+    got = one(spark, rows, "t string", dates.parse_date(F.col("t")))
+    assert got == [dt.date(2024, 4, 30), None, None, None, None]
+
+
+def test_arrays(spark):
+    a = F.array(F.lit(dt.date(2024, 5, 1)), F.lit(dt.date(2024, 4, 1)))
+    b = F.array(F.lit(dt.date(2024, 5, 1)))
+    row = spark.range(1).select(
+        dates.month_list(a),
+        dates.array_minus(a, b),
+        dates.array_minus(a, F.lit(None).cast("array<date>")),
+        dates.elapsed_fiscal_months(dt.date(2024, 6, 30)),
+    ).first()
+    assert row[0] == "Apr-24,May-24"
+    assert row[1] == [dt.date(2024, 4, 1)]
+    assert len(row[2]) == 2
+    assert row[3] == [dt.date(2024, m, 1) for m in (4, 5, 6)]
