@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.fixed_values import MATERIAL_NAMES, SALES_FORCE_NAMES
 from tallyfold.functions.clean import MONEY
+from tallyfold.functions.dates import between_dates
 
 AS_OF = dt.date(2001, 7, 15)
 FLOOR = dt.date(1999, 4, 1)
@@ -74,8 +75,15 @@ def lines(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def headers(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders").select(
+def headers(
+    spark: SparkSession, sf: str, low: dt.date | None = None, high: dt.date | None = None
+) -> DataFrame:
+    """Billing headers, optionally dated from `low` through `high`."""
+    orders = table(spark, sf, "orders")
+    if high is not None:
+        first = low or dt.date(1900, 1, 1)
+        orders = orders.filter(between_dates(F.col("o_orderdate"), first, high))
+    return orders.select(
         F.col("o_orderkey").alias("billing_document"),
         F.col("o_custkey").alias("customer_code"),
         F.col("o_orderdate").cast("date").alias("billing_date"),

@@ -111,7 +111,7 @@ def sales_force_master() -> str:
     return f"WITH {SOLD} SELECT {select(columns)} FROM detail LEFT JOIN custs USING (customer_code)"
 
 
-def customer_master() -> str:
+def customer_master(fallback: str = "''") -> str:
     kept = ["customer_code", "state_code", "customer_name", "central_block_code", "district",
             "town_village", "region", "block_tehsil", "zone", "block_status", "state_name"]
     columns = {c: f"c.{c}" for c in kept}
@@ -126,7 +126,7 @@ def customer_master() -> str:
         "system_date": f"CASE WHEN last_billed_date IS NOT NULL THEN '{AS_OF}' END",
         "unbilled_days": "days",
         "unbilled_ageing_bucket": o.AGE,
-        "unbilled_months": "coalesce(months, '')",
+        "unbilled_months": f"coalesce(months, {fallback})",
     }
     return f"""
 WITH {SOLD},
@@ -185,9 +185,24 @@ SELECT customer_code, segment, budget AS "Monthly Budget", {o.BUDGET_DATES},
 FROM j"""
 
 
-def sales_register() -> str:
-    keys = ("customer_code", "material_code")
-    windows = o.WINDOWS
+def spanning_windows() -> dict[str, tuple[str, str]]:
+    """Windows that end on the current day, and year totals by fiscal-year label."""
+    label = f"OVER (PARTITION BY {', '.join(REGISTER_KEYS)}, {o.fy('m')})"
+    latest = f"max({o.FY_END}) {label}"
+    return o.WINDOWS | {
+        "LYMTD": (o.shift("m", -12), o.as_of_end(12)),
+        "L1MTD": (o.shift("m", -1), o.as_of_end(1)),
+        "L2MTD": (o.shift("m", -2), o.as_of_end(2)),
+        "YTD": (o.fy_start("m"), latest),
+        "LYTD": (o.shift(o.fy_start("m"), -12), o.shift(f"({latest})", -12)),
+    }
+
+
+REGISTER_KEYS = ("customer_code", "material_code")
+
+
+def sales_register(windows: Mapping[str, tuple[str, str]] = o.WINDOWS) -> str:
+    keys = REGISTER_KEYS
     columns = {
         c: c
         for c in ("customer_group", "customer_code", "material_code", "item_category",
@@ -256,9 +271,9 @@ def sales_register() -> str:
         "L2M_AVG_first_date_month": windows["L2M"][0],
         "L2M_AVG_end_date": windows["L2M"][1],
         "current_fy_start": windows["YTD"][0],
-        "current_fy_end": windows["YTD"][1],
+        "current_fy_end": o.WINDOWS["YTD"][1],
         "last_fy_start": windows["LYTD"][0],
-        "last_fy_end": windows["LYTD"][1],
+        "last_fy_end": o.WINDOWS["LYTD"][1],
     }
     columns |= {c: o.day_text(f"CAST({sql} AS DATE)") for c, sql in days.items()}
     columns["current_date"] = f"'{AS_OF}'"
@@ -322,4 +337,6 @@ def build() -> dict[str, str]:
         "customer_master": customer_master(),
         "customer_budget_report": customer_budget(),
         "sales_register": sales_register(),
+        "sales_register_spanning": sales_register(spanning_windows()),
+        "customer_master_all": customer_master(o.EVERY_MONTH),
     }

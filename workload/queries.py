@@ -219,7 +219,7 @@ def signed_amounts(spark, sf):
 
 @query
 def date_range_filter(spark, sf):
-    kept = headers(spark, sf).filter(dates.between_dates(F.col("billing_date"), FLOOR, AS_OF))
+    kept = headers(spark, sf, FLOOR, AS_OF)
     return kept.select("billing_document", "billing_date", "customer_group")
 
 
@@ -399,15 +399,15 @@ def running_sum_rows(spark, sf):
 @query
 def pareto_brand_fy(spark, sf):
     full = bills(spark, sf).withColumn("fiscal_year", dates.fiscal_year(F.col("billing_date")))
-    return pareto.pareto(full, "product_brand", "billing_amount", "fiscal_year")
+    return pareto.pareto(
+        full, "product_brand", "billing_amount", "fiscal_year", few_groups=True
+    )
 
 
 @query
 def pareto_customer_fy(spark, sf):
     full = bills(spark, sf).withColumn("fiscal_year", dates.fiscal_year(F.col("billing_date")))
-    return pareto.pareto(
-        full, "customer_code", "billing_amount", "fiscal_year", few_groups=False
-    )
+    return pareto.pareto(full, "customer_code", "billing_amount", "fiscal_year")
 
 
 @query
@@ -552,7 +552,7 @@ def mtd_per_day(spark, sf):
 
 
 def past_headers(spark, sf):
-    return headers(spark, sf).filter(F.col("billing_date") <= F.lit(AS_OF))
+    return headers(spark, sf, high=AS_OF)
 
 
 @query
@@ -632,9 +632,9 @@ def group_text(spark, sf):
     return masters.customer_group_text(given["KNVV"], given["T151T"])
 
 
-def all_reports(spark, sf):
+def all_reports(spark, sf, **changed):
     contact = {"nsm_name_lit": "head office", "nsm_email_lit": "head@office.example"}
-    options = reports.ReportOptions(as_of=AS_OF, floor=FLOOR, contact=contact)
+    options = reports.ReportOptions(as_of=AS_OF, floor=FLOOR, contact=contact, **changed)
     return reports.Reports(spark, extracts(spark, sf), options)
 
 
@@ -662,6 +662,21 @@ def sales_register(spark, sf):
     return all_reports(spark, sf)["sales_register"]
 
 
+@query
+def sales_register_spanning(spark, sf):
+    """The register with to-date windows that end on `as_of` itself and with year
+    totals by fiscal-year label."""
+    return all_reports(spark, sf, end_rule="as_of", running=False, keep_sign=False)[
+        "sales_register"
+    ]
+
+
+@query
+def customer_master_all(spark, sf):
+    """Customers billed in every month are shown as if in none."""
+    return all_reports(spark, sf, fully_billed="all")["customer_master"]
+
+
 @query
 def customer_budget_report(spark, sf):
     return all_reports(spark, sf)["customer_budget"]
