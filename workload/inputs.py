@@ -167,7 +167,7 @@ def extracts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
         F.lit("CV").alias("VRKME"),
         text(quantity).alias("FKLMG"),
         text(net).alias("NETWR"),
-        F.format_number(quantity * F.lit(25), 2).alias("NTGEW"),
+        text((quantity * F.lit(25)).cast(MONEY)).alias("NTGEW"),
     )
     size = F.col("p_size")
     mara = _filled(
