@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+from tallyfold.llm.bpe import op6_byte_bpe
+from tallyfold.llm.packing import op9_best_two_fit
 from tallyfold.llm.quality import OP5_SQL, op5_quality_rules
+from tallyfold.llm.secrets import op4_secret_ledger
+from tallyfold.llm.sharding import op2_stratified_shards
+from tallyfold.llm.wordpiece import op7_wordpiece_counts
 
 QUERIES = {
+    "op2_stratified_shards": op2_stratified_shards,
+    "op4_secret_ledger": op4_secret_ledger,
     "op5_quality_rules": op5_quality_rules,
+    "op6_byte_bpe": op6_byte_bpe,
+    "op7_wordpiece_counts": op7_wordpiece_counts,
+    "op9_best_two_fit": op9_best_two_fit,
 }
 #: The others can't be expressed in SQL; tests/llm holds them against brute force.
 ORACLES = {
