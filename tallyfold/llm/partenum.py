@@ -36,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -122,16 +122,20 @@ def signatures(shingles: np.ndarray, per_element: float) -> Iterator[tuple[int,
 
 
 def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """doc_id, row_key (the id, or a hash of the text where that is null) and the text's bytes."""
+    """doc_id, text_key (a hash of the text) and the text's bytes."""
     whole = F.coalesce(text, F.lit(""))
-    own = F.col(doc_id).cast("long")
     return docs.select(
-        own.alias("doc_id"), F.coalesce(own, F.xxhash64(whole)).alias("row_key"), whole.cast("binary").alias("raw")
+        F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(whole).alias("text_key"), whole.cast("binary").alias("raw")
     )
 
 
+def _row_key() -> Column:
+    """The id, or the text's hash where that is null, so that rows without id spread."""
+    return F.coalesce("doc_id", "text_key").alias("row_key")
+
+
 def sets_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, row_key, n_shingles and set_id, which is null for the empty set."""
+    """doc_id, text_key, n_shingles and set_id, which is null for the empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,10 +146,10 @@ def sets_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
                 ids.append(set_id_of(s) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(ids, pa.int64())],
-                names=["doc_id", "row_key", "n_shingles", "set_id"],
+                names=["doc_id", "text_key", "n_shingles", "set_id"],
             )
 
-    return _rows(docs, doc_id, text).mapInArrow(run, "doc_id long, row_key long, n_shingles long, set_id long")
+    return _rows(docs, doc_id, text).mapInArrow(run, "doc_id long, text_key long, n_shingles long, set_id long")
 
 
 def _signed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -252,7 +256,7 @@ def link_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     # The elements of the sets that share a signature, from one document of each.
     hot = members.where("hot").select("set_id").union(loose).distinct()
     wanted = members.select("set_id").union(loose).distinct()
-    first = owners.where("set_id is not null").groupBy("set_id").agg(F.min("row_key").alias("row_key"))
+    first = owners.where("set_id is not null").groupBy("set_id").agg(F.min(_row_key()).alias("row_key"))
     sets = stage(_elements(docs, wanted.join(first, "set_id"), doc_id, text), "sets")
 
     # Hot groups: rarest signatures first, as many as the prefix needs.
@@ -285,7 +289,7 @@ def link_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 def _elements(docs: DataFrame, chosen: DataFrame, doc_id: str, text: str) -> DataFrame:
     """set_id, n_shingles and the elements as bytes, of the chosen documents."""
-    met = _rows(docs, doc_id, text).join(chosen.hint("shuffle_hash"), "row_key").select("set_id", "raw")
+    met = _rows(docs, doc_id, text).select(_row_key(), "raw").join(chosen.hint("shuffle_hash"), "row_key").select("set_id", "raw")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -303,18 +307,33 @@ def _elements(docs: DataFrame, chosen: DataFrame, doc_id: str, text: str) -> Dat
     return met.mapInArrow(run, "set_id long, n_shingles long, shingles binary").dropDuplicates(["set_id"])
 
 
+def _labelled(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """owners with the label of their component; null for documents without words."""
+    owners, labels = link_classes(docs, doc_id, text)
+    met = owners.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
+    return stage(met.withColumn("label", F.coalesce("label", "set_id")).drop("set_id"), "labelled")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id, the smallest doc_id reachable by links."""
-    owners, labels = link_classes(docs, doc_id, text)
-    labelled = owners.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
-        "label", F.coalesce("label", "set_id")
-    ).drop("row_key")
-    labelled = stage(labelled, "labelled")
+    labelled = _labelled(docs, doc_id, text)
     least = labelled.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
     return labelled.join(least, "label", "left").select(
         "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id")
     )
 
 
+def superseded(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """owner (the id, null as the smallest) and text_key of documents that give way to another
+    of their component: all but the one of smallest owner, then smallest text_key."""
+    own = F.coalesce("doc_id", F.lit(MARK)).alias("owner")
+    labelled = _labelled(docs, doc_id, text).where("label is not null").select("label", own, "text_key")
+    least = labelled.groupBy("label").agg(F.min("owner").alias("least"))
+    ranked = labelled.join(least, "label").withColumn("own", F.col("owner") == F.col("least"))
+    first = ranked.where("own").groupBy("label").agg(F.min("text_key").alias("first"))
+    gone = ranked.join(first, "label").where("not own or text_key <> first")
+    return gone.select("owner", "text_key").distinct()
+
+
 def op10_partenum_join(spark, sf: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf}/documents.parquet"))

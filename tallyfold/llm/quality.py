@@ -51,15 +51,19 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(plain, " +"), lambda w: w != "")
 
 
-def measure(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def measure(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_row: bool = False) -> DataFrame:
     """One row per document: its id and the measurements of every rule.
 
+    ``with_row`` puts the whole input row, as a struct, under ``row``.
+
     Words are runs of anything but the six ASCII white-space characters. ``n_repeat_words``
     counts the words inside five-word windows that occur twice or more, by sorting the
     windows' 64-bit hashes; texts whose hashes are all different skip the sort.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
+    row = ["row"] if with_row else []
     worded = docs.select(
+        *[F.struct("*").alias("row") for _ in row],
         F.col(doc_id).alias("doc_id"),
         _words(whole).alias("words"),
         F.filter(F.split(whole, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
@@ -68,6 +72,7 @@ def measure(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     )
     words, hashes, order = F.col("words"), F.col("hashes"), F.col("order")
     hashed = worded.select(
+        *row,
         "doc_id",
         "word_chars",
         "n_symbols",
@@ -106,6 +111,7 @@ def measure(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     )
     covered = F.aggregate(gaps, F.lit(0).cast("long"), lambda s, x: s + x)
     return found.select(
+        *row,
         "doc_id",
         *[m for m in MEASURES if m != "n_repeat_words"],
         F.when(F.col("starts").isNull(), F.lit(0).cast("long")).otherwise(covered).alias("n_repeat_words"),
@@ -131,6 +137,11 @@ def apply_policy(bits: DataFrame, version: int) -> DataFrame:
     return bits.withColumns({"policy": F.lit(version), "kept": F.col("fail_bits").bitwiseAND(mask) == 0})
 
 
+def judged_rows(docs: DataFrame, version: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The ledger and verdict of a policy, with each document's whole row under ``row``."""
+    return apply_policy(ledger(measure(docs, doc_id, text, with_row=True)), version)
+
+
 def ablate(bits: DataFrame, version: int, rules: Sequence[Rule] = RULES) -> DataFrame:
     """Per rule of a policy: documents it fails, fails alone, and keeps when left out.
 

@@ -136,6 +136,35 @@ def findings(paths: DataFrame, ledger: DataFrame) -> DataFrame:
     )
 
 
+def redacted(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents, every column kept, each secret replaced by its kind in angle brackets.
+
+    Spans that overlap become one, named after the first. Null texts become empty.
+    """
+    ledger = scan_unseen(addressed(docs, doc_id, text)).where(F.size("spans") > 0).select("blob_id", "spans")
+    whole = F.coalesce(F.col(text), F.lit(""))
+    rows = docs.select(F.struct("*").alias("row"), F.unhex(F.sha2(whole.cast("binary"), 256)).alias("blob_id"))
+    met = rows.join(ledger, "blob_id", "left").select("row", F.coalesce(F.col("row")[text], F.lit("")).alias("text"), "spans")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [_without(t, s) for t, s in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["row", "clean"])
+
+    cut = met.mapInArrow(run, met.select("row").schema.add("clean", "string"))
+    quoted = lambda c: "row.`" + c.replace("`", "``") + "`"
+    return cut.select([F.col("clean").alias(c) if c == text else F.col(quoted(c)) for c in docs.columns])
+
+
+def _without(text: str, spans: list[dict] | None) -> str:
+    out, at = [], 0
+    for s in sorted(spans or [], key=lambda s: (s["start"], s["kind_no"])):
+        if s["start"] >= at:
+            out += [text[at : s["start"]], f"<{s['kind']}>"]
+        at = max(at, s["stop"])
+    return "".join([*out, text[at:]])
+
+
 def joined(spans: Column) -> Column:
     part = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))
     return F.array_join(F.transform(spans, part), ",")
