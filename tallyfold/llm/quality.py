@@ -137,9 +137,16 @@ def apply_policy(bits: DataFrame, version: int) -> DataFrame:
     return bits.withColumns({"policy": F.lit(version), "kept": F.col("fail_bits").bitwiseAND(mask) == 0})
 
 
-def judged_rows(docs: DataFrame, version: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The ledger and verdict of a policy, with each document's whole row under ``row``."""
-    return apply_policy(ledger(measure(docs, doc_id, text, with_row=True)), version)
+def kept_rows(docs: DataFrame, version: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents a policy keeps, all columns as they are.
+
+    A filter on the verdict alone would be pushed below the measurements, each then worked
+    out once per use. A row number beside the verdict holds the filter above them.
+    """
+    judged = apply_policy(ledger(measure(docs, doc_id, text, with_row=True)), version)
+    numbered = judged.select("row", "kept", F.monotonically_increasing_id().alias("row_no"))
+    kept = numbered.where(F.col("kept") & (F.col("row_no") >= 0))
+    return kept.select([F.col("row.`" + c.replace("`", "``") + "`") for c in docs.columns])
 
 
 def ablate(bits: DataFrame, version: int, rules: Sequence[Rule] = RULES) -> DataFrame:
