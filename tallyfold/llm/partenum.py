@@ -9,15 +9,17 @@ in that band too. Per band, the domain of shingles is cut into first-level parts
 second-level parts, and of every two the subsets of one are enumerated: a signature is the band,
 the part and the elements of the set that lie there. Each element in which two sets differ
 spoils one part at most, so a set with more parts in use than it may have differences, say
-k, shares a signature with every set it links to. By the prefix principle the first k + 1 parts
-in any order common to all sets are enough. Sets with k or fewer parts in use also give every
-element as a signature of its own, which always suffices. So no link is lost.
+k, shares a signature with every set it links to. Sets with k or fewer parts in use also give
+every element as a signature of its own, which always suffices.
 
-Hot signatures. Where more than ``HOT`` rows share a signature, its sets are signed again over
-a much finer partition and their signatures are put in order of rarity among them, so that
-the prefix avoids whatever many documents share. Within a group of sets that share a signature,
-all are first compared with one pivot; only sets still in different components are then paired.
-Copies and near copies cost one comparison each, never all pairs.
+Prefix. In any order common to all sets, the first k + 1 signatures of a set are enough, by the
+prefix principle. The order is by how many sets share a signature, counted over all of them, so
+passages that many documents hold come last and do not bring their documents together.
+
+Links. In a group of sets that share a signature, all are compared with one pivot; after some
+rounds with other pivots, only sets still in different components are paired. Copies and near
+copies cost a few comparisons each, never all pairs. A comparison first bounds the differences
+from below by sketches of fixed size, then intersects the sets. No link is lost.
 
 What stays: sets that are not linked but share between about 2/3 and 6/7 of their shingles with
 many others still meet in pairs. Nothing is dropped for that.
@@ -46,17 +48,21 @@ from tallyfold.session import stage
 WORDS = 5
 #: Link when OF * intersection >= AT_LEAST * union.
 AT_LEAST, OF = 75, 100
-#: Bands of sizes are powers of this. Parts per element of a band's largest set, first and hot.
-BAND, PARTS, FINE_PARTS = 4, 0.5, 4.0
-#: Rows that may share a signature before it counts as hot; also per batch of documents.
-HOT = 64
+#: Bands of sizes are powers of this. Parts per element of a band's largest set.
+BAND, PARTS = 4, 0.42
+#: Buckets of a sketch; each takes a byte for a count and a byte for a sum.
+BUCKETS = 128
+#: Rounds of pivots at most, and the pairs per member row at which they end before.
+ROUNDS, FEW_PAIRS = 6, 1
 #: Words a worker's cache of hashes holds.
 CACHED = 400_000
-#: Set ids of rows that mark a hot signature, or in their signature name a set of one.
-MARK, LOOSE = -(2**63), 1 - 2**63
+#: Signatures have 48 bits, the lowest five of them for the band; more only cost comparisons.
+BAND_BITS = 5
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
+_ODDS = [np.uint64(int(_M1) * (2 * k + 3) % 2**64 | 1) for k in range(WORDS)]
+
 
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * _M2
@@ -83,20 +89,20 @@ def shingle_set(raw: bytes) -> np.ndarray:
     size = min(WORDS, len(words))
     out = np.full(len(h) - size + 1, size, np.uint64)
     for k in range(size):
-        out = _mix(out * _M1 + h[k : len(h) - size + 1 + k])
-    return np.unique(out)
+        out += h[k : len(h) - size + 1 + k] * _ODDS[k]
+    return np.unique(_mix(out))
 
 
 def set_id_of(shingles: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def bands_of(size: int) -> list[int]:
-    """Largest sizes of the bands that a set of this size takes part in."""
-    top = BAND
+def bands_of(size: int) -> list[tuple[int, int]]:
+    """(number, upper bound of sizes) of the bands that a set of this size takes part in."""
+    k, top = 0, BAND
     while top <= size:
-        top *= BAND
-    return [top, top * BAND] if OF * size // AT_LEAST >= top else [top]
+        k, top = k + 1, top * BAND
+    return [(k, top), (k + 1, top * BAND)] if OF * size // AT_LEAST >= top else [(k, top)]
 
 
 def differences(size: int, most: int) -> int:
@@ -104,21 +110,42 @@ def differences(size: int, most: int) -> int:
     return (OF - AT_LEAST) * (size + most) // (OF + AT_LEAST)
 
 
-def signatures(shingles: np.ndarray, per_element: float) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(band, prefix it needs, signatures in order of parts) of a set; single elements, where
-    it needs them, under a band of their own."""
+def signatures(shingles: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(band, prefix it needs, signatures) of a set; single elements, where it needs them, under
+    a band of their own."""
     size = len(shingles)
-    for top in bands_of(size):
+    for number, top in bands_of(size):
         partner = min(OF * size // AT_LEAST, top - 1)
         k = differences(size, partner)
-        parts = 2 * max(1, int(top * per_element / 2))  # two second-level parts each
+        parts = 2 * max(1, int(top * PARTS / 2))  # two second-level parts each
         place = ((shingles >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
         starts = np.flatnonzero(np.diff(place, prepend=np.uint64(2**63)))  # sorted, so parts are runs
         content = np.add.reduceat(_mix(shingles * _M1), starts)
         own = _mix((content + place[starts] * _M2) ^ np.uint64(top))
-        yield top, k + 1, own
+        yield 2 * number, k + 1, _short(own, 2 * number)
         if len(own) <= k:
-            yield -top, k + 1, _mix(shingles ^ np.uint64(2 * top + 1))
+            yield 2 * number + 1, k + 1, _short(_mix(shingles ^ np.uint64(2 * top + 1)), 2 * number + 1)
+
+
+def _short(signs: np.ndarray, band: int) -> np.ndarray:
+    low = np.uint64((1 << BAND_BITS) - 1)
+    return ((signs >> np.uint64(16)) & ~low) | np.uint64(band)
+
+
+def sketch_of(shingles: np.ndarray) -> bytes:
+    """Per bucket of the domain, the number of elements, up to 255, and their sum, as bytes."""
+    bucket = (shingles >> np.uint64(40)).astype(np.int64) % BUCKETS
+    count = np.bincount(bucket, minlength=BUCKETS)
+    total = np.bincount(bucket, weights=(shingles & np.uint64(255)).astype(np.float64), minlength=BUCKETS)
+    return np.minimum(count, 255).astype(np.uint8).tobytes() + (total.astype(np.int64) % 256).astype(np.uint8).tobytes()
+
+
+def least_differences(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differences that sets must have at least, row by row of their sketches."""
+    count_a, count_b = a[:, :BUCKETS].astype(np.int64), b[:, :BUCKETS].astype(np.int64)
+    apart = np.abs(count_a - count_b)
+    other = (a[:, BUCKETS:] != b[:, BUCKETS:]) & (apart == 0) & (count_a < 255)
+    return apart.sum(axis=1) + 2 * other.sum(axis=1)
 
 
 def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -135,93 +162,78 @@ def _row_key() -> Column:
 
 
 def sets_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, text_key, n_shingles and set_id, which is null for the empty set."""
+    """doc_id, text_key, n_shingles, set_id (null for the empty set), and per band the signatures
+    beyond the prefix that it needs."""
+    names = ["doc_id", "text_key", "n_shingles", "set_id", "spares"]
+    spare = pa.list_(pa.struct([("band", pa.int64()), ("spare", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, ids = [], []
+            rows = []
             for raw in batch.column(2):
                 s = shingle_set(raw.as_py())
-                counts.append(len(s))
-                ids.append(set_id_of(s) if len(s) else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(ids, pa.int64())],
-                names=["doc_id", "text_key", "n_shingles", "set_id"],
-            )
-
-    return _rows(docs, doc_id, text).mapInArrow(run, "doc_id long, text_key long, n_shingles long, set_id long")
+                spares = [{"band": b, "spare": len(own) - need} for b, need, own in signatures(s)] if len(s) else []
+                rows.append((len(s), set_id_of(s), spares) if len(s) else (0, None, None))
+            columns = zip(list(zip(*rows)) or [[]] * 3, (pa.int64(), pa.int64(), spare))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *(pa.array(c, t) for c, t in columns)], names=names)
+
+    return _rows(docs, doc_id, text).mapInArrow(
+        run,
+        "doc_id long, text_key long, n_shingles long, set_id long, spares array<struct<band:long,spare:long>>",
+    )
 
 
 def _signed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(sign, set_id) rows: the first k + 1 signatures of each set and band.
-
-    A signature that is hot within a batch comes once, with MARK for its set, and each of its
-    sets once, as the signature of LOOSE. Equal sets of a batch are signed once.
-    """
-
-    def rows_of(found: dict[int, np.ndarray]) -> pa.RecordBatch:
-        signs = np.concatenate([*found.values()]) if found else np.empty(0, np.uint64)
-        owners = np.repeat(np.array([*found], np.int64), [len(s) for s in found.values()])
-        values, at, n = np.unique(signs, return_inverse=True, return_counts=True)
-        hot = n > HOT
-        cold = ~hot[at]
-        sign = [signs[cold].view(np.int64), values[hot].view(np.int64)]
-        owner = [owners[cold], np.full(int(hot.sum()), MARK)]
-        loose = np.unique(owners[~cold])
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.concatenate([*sign, loose])),
-                pa.array(np.concatenate([*owner, np.full(len(loose), LOOSE)])),
-            ],
-            schema=pa.schema([pa.field(n, pa.int64(), False) for n in ("sign", "set_id")]),
-        )
+    """(sign, set_id): all signatures of each set, once per batch of documents."""
+    schema = pa.schema([pa.field(n, pa.int64(), False) for n in ("sign", "set_id")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, size = {}, 0
+            found: dict[int, np.ndarray] = {}
+            size, done = 0, set()
+
+            def rows() -> pa.RecordBatch:
+                signs = np.concatenate([*found.values()]) if found else np.empty(0, np.uint64)
+                owners = np.repeat(np.array([*found], np.int64), [len(s) for s in found.values()])
+                return pa.RecordBatch.from_arrays([pa.array(signs.view(np.int64)), pa.array(owners)], schema=schema)
+
             for raw in batch.column(2):
                 s = shingle_set(raw.as_py())
-                if len(s):
-                    one = set_id_of(s)
-                    if one not in found:
-                        found[one] = np.concatenate([own[:need] for _, need, own in signatures(s, PARTS)])
-                        size += len(found[one])
-                if size > 2_000_000:
-                    yield rows_of(found)
+                if len(s) and (one := set_id_of(s)) not in done:
+                    done.add(one)
+                    found[one] = np.concatenate([own for _, _, own in signatures(s)])
+                    size += len(found[one])
+                if size > 1_000_000:
+                    yield rows()
                     found, size = {}, 0
-            yield rows_of(found)
+            yield rows()
 
     # Without nulls no filter differs between the readers, so they share one shuffle.
     return _rows(docs, doc_id, text).mapInArrow(run, "sign long not null, set_id long not null")
 
 
-def _signed_again(sets: DataFrame) -> DataFrame:
-    """(sign, set_id, band, spare) over the fine partition, all signatures of each set.
-
-    ``spare`` is how many signatures a set has in a band beyond the prefix it needs.
-    """
-    types = pa.schema([("sign", pa.int64()), ("set_id", pa.int64()), ("band", pa.int64()), ("spare", pa.int64())])
+def _paired(pairs: DataFrame, sets: DataFrame, columns: list[str]) -> DataFrame:
+    """(a, b) of set ids with columns of both sets."""
+    side = lambda n: sets.select(F.col("set_id").alias(n), *[F.col(c).alias(f"{c}_{n}") for c in columns])
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", *[f"{c}_{n}" for c in columns for n in "ab"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for one, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for band, need, own in signatures(np.frombuffer(raw.as_py(), np.uint64), FINE_PARTS):
-                    n = len(own)
-                    ids = [np.full(n, x, np.int64) for x in (one, band, n - need)]
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (own.view(np.int64), *ids)], schema=types)
 
-    return sets.select("set_id", "shingles").mapInArrow(run, "sign long, set_id long, band long, spare long")
+def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of set ids whose sets link: by sizes, then sketches, then elements."""
+    near = (OF * F.least("n_shingles_a", "n_shingles_b")) >= (AT_LEAST * F.greatest("n_shingles_a", "n_shingles_b"))
+    fit = _paired(pairs, sets, ["n_shingles"]).where(near).select("a", "b")
+    sketched = _paired(fit, sets, ["n_shingles", "sketch"])
 
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            a, b = (
+                np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, 2 * BUCKETS) for k in (4, 5)
+            )
+            keep = (OF + AT_LEAST) * least_differences(a, b) <= (OF - AT_LEAST) * sizes
+            yield batch.select([0, 1]).filter(pa.array(keep))
 
-def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of set ids whose sets link, by their elements."""
-    side = lambda n: sets.select(
-        F.col("set_id").alias(n), F.col("n_shingles").alias(f"n_{n}"), F.col("shingles").alias(f"s_{n}")
-    )
-    near = (OF * F.least("n_a", "n_b")) >= (AT_LEAST * F.greatest("n_a", "n_b"))
-    sizes = lambda n: side(n).drop(f"s_{n}")
-    fit = pairs.join(sizes("a"), "a").join(sizes("b"), "b").where(near).select("a", "b")
-    met = fit.join(side("a"), "a").join(side("b"), "b").select("a", "b", "s_a", "s_b")
+    met = _paired(sketched.mapInArrow(close, "a long, b long"), sets, ["shingles"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -238,80 +250,101 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def link_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(documents with their set, components of sets).
 
-    The first has doc_id, n_shingles, set_id; the second node (a set_id) and label, for sets
-    that link with another. Writes both, and what they need, to the shared folder.
+    The first has doc_id, text_key, n_shingles, set_id; the second node (a set_id) and label,
+    for sets that link with another. Writes both, and what they need, to the shared folder.
     """
     owners = stage(sets_of(docs, doc_id, text), "owners")
+    worded = owners.where("set_id is not null")
     signed = _signed(docs, doc_id, text).repartition("sign")
-    shared = (
-        signed.groupBy("sign")
-        .agg(F.count("*").alias("n"), F.min("set_id").alias("low"), F.max("set_id").alias("high"))
-        .where(f"low < high or low = {LOOSE}")
-        .select("sign", "low", (F.col("n") > HOT).alias("many"))
-    )
-    met = stage(signed.join(shared, "sign"), "members")
-    loose = met.where(f"set_id = {LOOSE}").select(F.col("sign").alias("set_id"))
-    members = met.where(f"set_id > {LOOSE}").withColumn("hot", F.col("many") | (F.col("low") <= LOOSE))
-
-    # The elements of the sets that share a signature, from one document of each.
-    hot = members.where("hot").select("set_id").union(loose).distinct()
-    wanted = members.select("set_id").union(loose).distinct()
-    first = owners.where("set_id is not null").groupBy("set_id").agg(F.min(_row_key()).alias("row_key"))
-    sets = stage(_elements(docs, wanted.join(first, "set_id"), doc_id, text), "sets")
-
-    # Hot groups: rarest signatures first, as many as the prefix needs.
-    again = _signed_again(sets.join(hot, "set_id", "left_semi"))
-    counts = again.groupBy("sign").agg(F.count("*").alias("n"), F.min("set_id").alias("low")).where("n > 1")
-    own = Window.partitionBy("set_id", "band")
+    shared = signed.groupBy("sign").agg(F.count("*").alias("n"), F.min("set_id").alias("low"), F.max("set_id").alias("high"))
+    shared = shared.where("low < high").select("sign", "n")
+    members = signed.join(shared, "sign").dropDuplicates(["sign", "set_id"])
+
+    # The rarest signatures of each set and band, as many as its prefix needs.
+    band = F.col("sign").bitwiseAND(F.lit((1 << BAND_BITS) - 1)).alias("band")
+    spares = worded.select("set_id", F.inline("spares")).dropDuplicates(["set_id", "band"])
+    last = Window.partitionBy("set_id", "band").orderBy(F.desc("n"), F.desc("sign"))
     rare = (
-        again.join(counts, "sign")
-        .withColumn("from_last", F.row_number().over(own.orderBy(F.desc("n"), F.desc("sign"))))
+        members.select("sign", "set_id", "n", band)
+        .join(spares, ["set_id", "band"])
+        .withColumn("from_last", F.row_number().over(last))
         .where("from_last > spare")
-        .select("sign", "set_id", "low")
+        .select("sign", "set_id")
     )
-    groups = stage(members.where("not hot").select("sign", "set_id", "low").unionByName(rare), "groups")
-
-    # One pivot per group first; then pairs between components that still share a signature.
-    star = groups.where("low <> set_id").select(F.col("low").alias("a"), F.col("set_id").alias("b")).distinct()
-    links = stage(_linked(star, sets), "star")
-    labels = components(links)
-    labelled = groups.select("sign", "set_id").join(
-        labels.withColumnRenamed("node", "set_id"), "set_id", "left"
-    ).withColumn("label", F.coalesce("label", "set_id"))
+    rare = stage(rare, "rare")
+    several = rare.groupBy("sign").agg(F.count("*").alias("n")).where("n > 1").select("sign")
+    groups = stage(rare.join(several, "sign", "left_semi"), "groups")
+
+    # What is known of their sets, the elements from the text of one document of each.
+    first = worded.groupBy("set_id").agg(F.min(_row_key()).alias("row_key"))
+    chosen = groups.select("set_id").distinct().join(first, "set_id")
+    sets = stage(_elements(docs, chosen, doc_id, text), "sets")
+
+    nodes = groups.select(F.col("set_id").alias("node")).distinct()
+    labels = stage(nodes.withColumn("label", F.col("node")), "labels")
+    for turn in range(ROUNDS):
+        labelled = groups.join(labels.withColumnRenamed("node", "set_id"), "set_id")
+        mixed = labelled.groupBy("sign").agg(
+            F.count("*").alias("n"), F.min("label").alias("l"), F.max("label").alias("h"), F.min(_turned(turn)).alias("key")
+        )
+        mixed = stage(labelled.join(mixed.where("l < h").drop("l", "h"), "sign").withColumn("own", _turned(turn)), "mixed")
+        rows, pairs = mixed.agg(F.count("*"), F.sum(F.col("n") - 1) / 2).first()
+        if not rows or (turn and pairs <= FEW_PAIRS * rows):
+            break
+        pivots = mixed.where("own = key").select("sign", F.col("set_id").alias("a"), F.col("label").alias("la"))
+        star = mixed.join(pivots, "sign").where("label <> la").select("a", F.col("set_id").alias("b")).distinct()
+        labels = _merged(labels, _linked(star, sets))
+    labelled = groups.join(labels.withColumnRenamed("node", "set_id"), "set_id")
     mixed = labelled.groupBy("sign").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l < h")
     mixed = stage(labelled.join(mixed.select("sign"), "sign", "left_semi"), "mixed")
     left = mixed.select("sign", F.col("set_id").alias("a"), F.col("label").alias("la"))
     right = mixed.select("sign", F.col("set_id").alias("b"), F.col("label").alias("lb"))
     rest = left.join(right, "sign").where("a < b and la <> lb").select("a", "b").distinct()
-    rest = rest.join(star, ["a", "b"], "left_anti")
-    return owners, components(links.unionByName(_linked(rest, sets)))
+    return owners, _merged(labels, _linked(rest, sets))
+
+
+def _turned(turn: int) -> Column:
+    """An order of sets that differs from round to round, without ties."""
+    return F.struct(F.xxhash64(F.lit(turn), "set_id"), "set_id")
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after further links between nodes."""
+    links = stage(links, "links")
+    end = lambda n: labels.select(F.col("node").alias(n), F.col("label").alias(f"l{n}"))
+    joined = links.join(end("a"), "a").join(end("b"), "b").select("la", "lb")
+    moved = components(joined, "la", "lb").select(F.col("node").alias("label"), F.col("label").alias("to"))
+    merged = labels.join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+    return stage(merged, "labels")
 
 
 def _elements(docs: DataFrame, chosen: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """set_id, n_shingles and the elements as bytes, of the chosen documents."""
-    met = _rows(docs, doc_id, text).select(_row_key(), "raw").join(chosen.hint("shuffle_hash"), "row_key").select("set_id", "raw")
+    """set_id, n_shingles, sketch and the elements as bytes, of the chosen documents."""
+    met = _rows(docs, doc_id, text).select(_row_key(), "raw").join(chosen.hint("shuffle_hash"), "row_key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [shingle_set(raw.as_py()) for raw in batch.column(1)]
-            right = [set_id_of(s) == one for s, one in zip(found, batch.column(0).to_pylist())]
+            right = [len(s) > 0 and set_id_of(s) == one for s, one in zip(found, batch.column(0).to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array([len(s) for s in found], pa.int64()),
+                    pa.array([sketch_of(s) for s in found], pa.binary()),
                     pa.array([s.tobytes() for s in found], pa.binary()),
                 ],
-                names=["set_id", "n_shingles", "shingles"],
+                names=["set_id", "n_shingles", "sketch", "shingles"],
             ).filter(pa.array(right, pa.bool_()))
 
-    return met.mapInArrow(run, "set_id long, n_shingles long, shingles binary").dropDuplicates(["set_id"])
+    ddl = "set_id long, n_shingles long, sketch binary, shingles binary"
+    return met.select("set_id", "raw").mapInArrow(run, ddl).dropDuplicates(["set_id"])
 
 
 def _labelled(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """owners with the label of their component; null for documents without words."""
     owners, labels = link_classes(docs, doc_id, text)
     met = owners.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
-    return stage(met.withColumn("label", F.coalesce("label", "set_id")).drop("set_id"), "labelled")
+    return stage(met.withColumn("label", F.coalesce("label", "set_id")).drop("set_id", "spares"), "labelled")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
