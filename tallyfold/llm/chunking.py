@@ -96,32 +96,31 @@ def _owner(doc_id: str) -> Column:
 
 
 def chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """owner, text_key and the two halves of the digest, once per distinct chunk of a row."""
-    names = ["owner", "text_key", "high", "low"]
+    """owner and the two halves of the digest, once per distinct chunk of a row."""
+    names = ["owner", "high", "low"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [list(dict.fromkeys(digests_of(x.as_py())[1])) for x in batch.column(2)]
+            found = [list(dict.fromkeys(digests_of(x.as_py())[1])) for x in batch.column(1)]
             counts = np.array([len(f) for f in found])
             halves = np.frombuffer(b"".join(d for f in found for d in f), "<i8").reshape(-1, 2)
-            ids = [np.repeat(batch.column(k).to_numpy(), counts) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*ids, halves[:, 0].copy(), halves[:, 1].copy())], names=names)
+            owners = np.repeat(batch.column(0).to_numpy(), counts)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (owners, halves[:, 0].copy(), halves[:, 1].copy())], names=names)
 
     rows = docs.select(
         _owner(doc_id).alias("owner"),
-        F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_key"),
         F.coalesce(text, F.lit("")).cast("binary").alias("raw"),
     )
     return rows.mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
 def kept_elsewhere(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """owner, text_key and the digests of its chunks that a smaller doc_id holds."""
+    """owner and the digests of its chunks that a smaller doc_id holds."""
     own = chunks(docs, doc_id, text)
     spread = own.groupBy("high", "low").agg(F.min("owner").alias("keeper"), F.max("owner").alias("last"))
     repeated = spread.where(F.col("keeper") < F.col("last")).drop("last")
     lost = own.join(repeated, ["high", "low"]).where(F.col("owner") > F.col("keeper"))
-    return lost.groupBy("owner", "text_key").agg(F.collect_set(F.struct("high", "low")).alias("lost"))
+    return lost.groupBy("owner").agg(F.collect_set(F.struct("high", "low")).alias("lost"))
 
 
 def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = MIN_RUN) -> DataFrame:
@@ -130,8 +129,8 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least:
     The three added columns replace columns of those names; use ``dedup`` to keep a schema.
     """
     lost = kept_elsewhere(docs, doc_id, text)
-    rows = docs.select(F.struct("*").alias("row"), _owner(doc_id).alias("owner"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_key"))
-    met = rows.join(lost, ["owner", "text_key"], "left").select(
+    rows = docs.select(F.struct("*").alias("row"), _owner(doc_id).alias("owner"))
+    met = rows.join(lost, "owner", "left").select(
         "row", F.coalesce(F.col("row")[text], F.lit("")).cast("binary").alias("raw"), "lost"
     )
     span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
