@@ -6,8 +6,9 @@ with a smaller id, or earlier in the same text. Matches never cross documents.
 Which strings can repeat. Every window of LENGTH bytes names one of its SEED-byte substrings,
 the one of least hash, leftmost. Equal windows name equal seeds, so only windows whose seed
 occurs twice in the corpus go on; each is carried once, in the stretch of text whose windows
-name the same seed occurrence. Stretches of one seed come together in one block; equal ones
-are folded to the first, already where they are cut out.
+name the same seed occurrence. Equal stretches of a seed, known by a hash, are folded to the
+first, the others are covered; only seeds that keep several different stretches go on, and
+only their stretches are cut out of the texts. They come together in blocks by seed.
 
 Sorting a block. Its stretches are joined, and the suffixes that are smaller than their
 successors are sorted directly, by 8-byte keys and only as deep as ties last, to LENGTH bytes.
@@ -34,12 +35,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tallyfold.session import stage
+
 LENGTH, SEED = 100, 32
 #: Stretches of one seed that a block holds on average, and bytes sorted at once at least.
 BLOCK, AT_ONCE = 10_000, 1 << 20
 #: Bytes of a text that are hashed at once; positions take the low bits of a sort key.
 PART, LOW = 1 << 22, 24
 FIRST_ID = -(2**63)
+MARK = -(2**63)
 
 _ODD, _M1, _M2 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 _BYTES = np.random.Generator(np.random.PCG64(5)).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -227,26 +231,32 @@ def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def _seeds(rows: DataFrame) -> DataFrame:
-    """seed, owner, text_key and place: first window * 128 + number of windows.
+    """seed, print, owner, text_key and place: first window * 128 + number of windows.
 
-    Of equal texts in a batch only the first is read; the others are copies of it.
+    ``print`` is a hash of the stretch. Of equal texts in a batch only the first is read; the
+    others are copies of it.
     """
-    schema = pa.schema([pa.field(n, pa.int64(), False) for n in ("seed", "owner", "text_key", "place")])
+    schema = pa.schema([pa.field(n, pa.int64(), False) for n in ("seed", "print", "owner", "text_key", "place")])
+    print_of = xxhash.xxh3_64_intdigest
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             first: dict[bytes, tuple] = {}
-            ids = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
-            for one, raw in zip(ids, batch.column(2)):
+            ids = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            for k, (one, raw) in enumerate(zip(ids, batch.column(2))):
                 raw = raw.as_py()
                 mark = hashlib.blake2b(raw, digest_size=16).digest()
                 if len(raw) >= LENGTH and (mark not in first or one < first[mark][0]):
-                    first[mark] = (one, raw)
+                    first[mark] = (one, k)
             out: list[tuple] = []
             size = 0
-            for (owner, key), raw in first.values():
+            for (owner, key), k in first.values():
+                raw = batch.column(2)[k].as_py()
                 seeds, begin, n = stretches_of(raw)
-                out.append((seeds.view(np.int64), np.full(len(n), owner), np.full(len(n), key), begin * 128 + n))
+                stops = (begin + n + LENGTH - 1).tolist()
+                prints = np.array([print_of(raw[a:b]) for a, b in zip(begin.tolist(), stops)], np.uint64)
+                same = (np.full(len(n), x) for x in (owner, key))
+                out.append((seeds.view(np.int64), prints.view(np.int64), *same, begin * 128 + n))
                 size += len(n)
                 if size > 200_000:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], schema=schema)
@@ -254,63 +264,83 @@ def _seeds(rows: DataFrame) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], schema=schema)
 
-    ddl = "seed long not null, owner long not null, text_key long not null, place long not null"
+    ddl = ", ".join(f"{n} long not null" for n in schema.names)
     return rows.select("owner", "text_key", "raw").mapInArrow(run, ddl)
 
 
-STRETCH = "seed long, salt int, split boolean, owner long, text_key long, start long, stretch binary"
-
-
-def _cut_out(met: DataFrame) -> DataFrame:
-    """Stretches at the places of repeated seeds, equal ones of a batch once.
+def _folded(seeds: DataFrame) -> DataFrame:
+    """owner, text_key, place, seed, block of places that matter, from seeds in order.
 
-    A row without stretch is a copy: ``salt`` bytes from ``start`` on are covered. Its seed is
-    made up, so that copies spread.
+    ``block`` is -1 where an equal stretch comes earlier; else the block that the stretch is
+    compared in, of a seed with several different stretches. Reads sorted rows as they come,
+    and keeps one row of what came before.
     """
+    names = ["owner", "text_key", "place", "seed", "block"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema(
-            [
-                ("seed", pa.int64()),
-                ("salt", pa.int32()),
-                ("split", pa.bool_()),
-                ("owner", pa.int64()),
-                ("text_key", pa.int64()),
-                ("start", pa.int64()),
-                ("stretch", pa.binary()),
-            ]
-        )
+        last, ordinal, alone = np.full(5, MARK), 0, None
         for batch in batches:
-            first: dict[tuple, tuple] = {}
-            out: list[tuple] = []
-            size = 0
+            if not len(batch):
+                continue
+            rows = np.stack([c.to_numpy() for c in batch.columns])
+            steps = np.diff(rows, axis=1, prepend=last[:, None]) != 0
+            new_seed, again = steps[0].copy(), ~steps.any(axis=0)
+            if last[4] == MARK:  # a place is never negative
+                new_seed[0], again[0] = True, False
+            new_print = new_seed | steps[1]
+            count = np.cumsum(new_print)
+            start = np.maximum.accumulate(np.where(new_seed, np.arange(len(count)), -1))
+            number = np.where(start < 0, ordinal + count, count - count[start])
+            group = np.cumsum(new_seed)
+            several = np.zeros(group[-1] + 1, bool)
+            several[group[new_print & (number > 0)]] = True
+            several[0] |= ordinal > 0
+            keep = new_print & several[group]
+            if alone is not None and several[0] and ordinal == 0:
+                held = np.append(alone, 0)
+            else:
+                held = None
+            copies = ~new_print & ~again
+            block = np.where(copies, -1, number // BLOCK)
+            take = keep | copies
+            out = np.concatenate([rows[2:, take], rows[:1, take], block[None, take]])
+            if held is not None:
+                out = np.concatenate([held[:, None], out], axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(c.copy()) for c in out], names=names)
+            ordinal = int(number[-1])
+            firsts = np.flatnonzero(new_seed)
+            if len(firsts):
+                alone = rows[[2, 3, 4, 0], firsts[-1]]
+            last = rows[:, -1]
+
+    return seeds.mapInArrow(run, ", ".join(f"{n} long" for n in names))
+
+
+STRETCH = "seed long, block long, split boolean, owner long, text_key long, start long, stretch binary"
+
+
+def _cut_out(met: DataFrame) -> DataFrame:
+    """The stretches at the places given with each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        names = [x.split()[0] for x in STRETCH.split(", ")]
 
-            def flush() -> pa.RecordBatch:
-                rows = [*out, *first.values()]
-                columns = [[r[k] for r in rows] for k in range(7)]
-                return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+        def rows(out: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*out)) or [[]] * 7
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
 
+        for batch in batches:
+            out: list[tuple] = []
             for owner, key, raw, places in zip(*(batch.column(k) for k in range(1, 5))):
                 owner, key, raw = owner.as_py(), key.as_py(), raw.as_py()
-                places = places.values
-                for seed, place, blocks in zip(*(places.field(k).to_pylist() for k in range(3))):
+                for seed, block, split, place in zip(*(places.values.field(k).to_pylist() for k in range(4))):
                     start, n = divmod(place, 128)
-                    stretch = raw[start : start + n + LENGTH - 1]
-                    salt = xxhash.xxh32_intdigest(stretch) % blocks
-                    row = (seed, salt, blocks > 1, owner, key, start, stretch)
-                    held = first.get((seed, stretch))
-                    if held is None:
-                        first[seed, stretch] = row
-                        size += len(stretch)
-                        continue
-                    if row[3:6] < held[3:6]:
-                        first[seed, stretch], row = row, held
-                    if row[3:6] != first[seed, stretch][3:6]:
-                        out.append((row[4] ^ row[5], len(stretch), False, *row[3:6], None))
-                if size > 1 << 23:
-                    yield flush()
-                    first, out, size = {}, [], 0
-            yield flush()
+                    out.append((seed, block, split, owner, key, start, raw[start : start + n + LENGTH - 1]))
+                if len(out) > 50_000:
+                    yield rows(out)
+                    out = []
+            yield rows(out)
 
     return met.select("doc_id", "owner", "text_key", "raw", "places").mapInArrow(run, STRETCH)
 
@@ -323,7 +353,8 @@ def _compared(stretches: DataFrame) -> DataFrame:
     """
     names = ["first", "high", "low", "owner", "text_key", "start", "stop"]
 
-    def solved(out: list[tuple], rows: dict[bool, list]) -> pa.RecordBatch:
+    def solved(rows: dict[bool, list]) -> pa.RecordBatch:
+        out: list[tuple] = []
         for split, records in rows.items():
             spans, firsts = covered(records, split)
             out += [(False, *s[:2], *s) for s in spans]
@@ -334,20 +365,16 @@ def _compared(stretches: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: dict[bool, list] = {False: [], True: []}
-        out: list[tuple] = []
         size, last = 0, None
         for batch in batches:
-            for seed, salt, split, owner, key, start, stretch in zip(*(c.to_pylist() for c in batch.columns)):
-                if stretch is None:
-                    out.append((False, owner, key, owner, key, start, start + salt))
-                    continue
-                if (seed, salt) != last and size > AT_ONCE:
-                    yield solved(out, rows)
-                    rows, out, size = {False: [], True: []}, [], 0
-                last = (seed, salt)
+            for seed, block, split, owner, key, start, stretch in zip(*(c.to_pylist() for c in batch.columns)):
+                if (seed, block) != last and size > AT_ONCE:
+                    yield solved(rows)
+                    rows, size = {False: [], True: []}, 0
+                last = (seed, block)
                 rows[split].append((owner, key, start, seed, stretch))
                 size += len(stretch)
-        yield solved(out, rows)
+        yield solved(rows)
 
     ddl = "first boolean, high long, low long, owner long, text_key long, start long, stop long"
     return stretches.mapInArrow(run, ddl)
@@ -356,19 +383,25 @@ def _compared(stretches: DataFrame) -> DataFrame:
 def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, raw (the text's bytes), kept (what remains) and spans removed, per row.
 
-    One plan without staging: the texts are shuffled once, for the two joins that need them.
+    Writes the folded places (no texts) to the shared folder. After that, the texts are
+    shuffled once for the two joins that need them.
     """
     rows = _keyed(docs, doc_id, text)
-    seeds = _seeds(rows).repartition("seed")
-    repeated = seeds.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")
+    order = ["seed", "print", "owner", "text_key", "place"]
+    folded = stage(_folded(_seeds(rows).repartition("seed").sortWithinPartitions(*order)), "places")
+    kept = folded.where("block >= 0")
+    split = kept.groupBy("seed").agg((F.max("block") > 0).alias("split")).where("split")
     places = (
-        seeds.join(repeated.select("seed", blocks), "seed")
+        kept.join(split, "seed", "left")
         .groupBy("owner", "text_key")
-        .agg(F.collect_list(F.struct("seed", "place", "blocks")).alias("places"))
+        .agg(F.collect_list(F.struct("seed", "block", F.coalesce("split", F.lit(False)).alias("split"), "place")).alias("places"))
+    )
+    cut = _cut_out(rows.join(places.hint("shuffle_hash"), ["owner", "text_key"]))
+    found = _compared(cut.repartition("seed", "block").sortWithinPartitions("seed", "block"))
+    start = F.shiftright("place", 7)
+    folds = folded.where("block < 0").select(
+        "owner", "text_key", start.alias("start"), (start + F.col("place") % 128 + LENGTH - 1).alias("stop")
     )
-    cut = _cut_out(rows.join(places, ["owner", "text_key"]))
-    found = _compared(cut.repartition("seed", "salt").sortWithinPartitions("seed", "salt"))
     # A class that several blocks hold: all but its first place are covered.
     place = F.row_number().over(Window.partitionBy("first", "high", "low").orderBy("owner", "text_key", "start"))
     parts = found.withColumn("place", place).where("not first or place > 1")
@@ -382,11 +415,12 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
     spans = (
         parts.select("owner", "text_key", "start", "stop")
+        .unionByName(folds)
         .unionByName(copies.select("owner", "text_key", F.lit(0).cast("long").alias("start"), F.col("n").alias("stop")))
         .groupBy("owner", "text_key")
         .agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     )
-    met = rows.join(spans, ["owner", "text_key"], "left").select("doc_id", "owner", "text_key", "raw", "spans")
+    met = rows.join(spans.hint("shuffle_hash"), ["owner", "text_key"], "left").select("doc_id", "owner", "text_key", "raw", "spans")
     ends = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
