@@ -333,3 +333,68 @@ MERGED_SEGMENT_LABEL = "BISCUIT & COOKIES"
 # Labels of focus brands and of all others.
 FOCUS_LABEL = "Growth Driver Brand"
 OTHER_LABEL = "Others"
+
+# Column names of states, of customers and of the sales team, as they must appear.
+STATE_COLUMNS = ["state_code", "state_name"]
+CUSTOMER_FIELDS = {
+    "KUNNR": "customer_code",
+    "NAME1": "customer_name",
+    "REGIO": "state_code",
+    "AUFSD": "central_block_code",
+    "ZZDT": "district",
+    "ZZTN": "town_village",
+    "ZZGP": "region",
+    "ZZML": "block_tehsil",
+    "ZZONE": "zone",
+}
+CUSTOMER_PROPER = ["customer_name", "district", "town_village", "region", "block_tehsil"]
+SALES_TEAM = [
+    "so_name",
+    "asm_name",
+    "rsm_name",
+    "zsm_name",
+    "so_email",
+    "asm_email",
+    "rsm_email",
+    "zsm_email",
+]
+FORCE_PROPER = [
+    "so_name",
+    "asm_name",
+    "rsm_name",
+    "zsm_name",
+    "nsm_name",
+    "dsm_name",
+    "sr_name",
+]
+
+# Fields of billing headers and items, and which of them are numbers.
+HEADER_FIELDS = {
+    "VBELN": "billing_document",
+    "FKDAT": "billing_date",
+    "FKART": "billing_type",
+    "KDGRP": "customer_group",
+    "KUNAG": "customer_code",
+    "XBLNR": "ref_invoice_number",
+}
+ITEM_FIELDS = {
+    "PRCTR": "profit_center",
+    "WERKS": "plant",
+    "PSTYV": "item_category",
+    "VKORG_AUFT": "sales_org",
+    "MWSBP": "tax_amount",
+    "VBELN": "billing_document",
+    "POSNR": "billing_item",
+    "MATNR": "material_code",
+    "ARKTX": "material_description",
+    "FKIMG": "quantity",
+    "VRKME": "UoM",
+    "FKLMG": "billed_quantity",
+    "NETWR": "net_value",
+    "NTGEW": "qty_in_kg",
+}
+NUMBERS = ["tax_amount", "quantity", "billed_quantity", "qty_in_kg", "net_value"]
+
+# The extracts by their delimiter.
+CARET_TABLES = ["T151T", "KNA1", "MARA", "ZCUST_ADD_DETAIL", "MARC", "CEPC", "VBRP", "VBRK", "KNVV"]
+COMMA_TABLES = ["focus_brand", "customer_budget", "Asm_Budget", "material_budget"]

@@ -38,6 +38,10 @@ def merge_codes(c: Column, codes: Sequence[str], label: str) -> Column:
     return F.when(F.trim(c).isin(list(codes)), F.lit(label)).otherwise(c)
 
 
+#: Whole numbers that a look-up of labels spans at most; wider ranges are tested one by one.
+MOST_LABELS = 1_000
+
+
 def bucketize(
     c: Column,
     ranges: Sequence[tuple[int, int, str]],
@@ -56,12 +60,25 @@ def bucketize(
     """
     number = c.try_cast("double")
     if floor:
-        number = F.when(number < 0, F.ceil(number)).otherwise(F.floor(number))
+        number = F.signum(number) * F.floor(F.abs(number))
+        low = min([*exact, *(a for a, _, _ in ranges)])
+        high = max([*exact, *(b for _, b, _ in ranges)])
+        if high - low < MOST_LABELS:
+            # Whole numbers look their label up, so the text is read twice, not once per range.
+            labels: list[str | None] = [None] * (high - low + 1)
+            for first, last, label in reversed(ranges):
+                labels[first - low : last - low + 1] = [label] * (last - first + 1)
+            for value in exact:
+                labels[value - low] = str(value)
+            table = F.array(*[F.lit(x) for x in labels])
+            found = F.get(table, F.when(number.between(low, high), number - low).cast("int"))
+            over = F.when(number > above[0], F.lit(above[1])) if above is not None else F.lit(None)
+            return F.coalesce(found, over, F.lit(default))
     out = F
     for value in exact:
         out = out.when(number == value, F.lit(str(value)))
-    for low, high, label in ranges:
-        out = out.when(number.between(low, high), F.lit(label))
+    for first, last, label in ranges:
+        out = out.when(number.between(first, last), F.lit(label))
     if above is not None:
         out = out.when(number > above[0], F.lit(above[1]))
     return out.otherwise(F.lit(default))

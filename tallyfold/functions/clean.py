@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MONEY = "decimal(18,2)"
+#: Amounts read from text, and sums of them: room for totals of any ledger.
+AMOUNT = "decimal(28,2)"
+#: What number text is stripped of (fixed value): all but letters, digits, white space, dots.
+NUMBER_MARKS = r"[^\sA-Za-z0-9.]"
 
 
 def quoted(name: str) -> Column:
@@ -88,22 +92,30 @@ def clean_decimal(
 ) -> Column:
     """Number text such as ``1,234.50`` or ``5-`` to a decimal.
 
-    Commas and every character but letters, digits, whitespace and dots go. With
-    `keep_sign` a leading or trailing minus still makes the value negative;
-    without it the minus is lost like any other mark. Text that is no number
-    becomes `default` (``None`` keeps it null).
+    Commas and every character outside `NUMBER_MARKS` go. With `keep_sign` a leading or
+    trailing minus still makes the value negative; without it the minus is lost like any
+    other mark. Text that is no number becomes `default` (``None`` keeps it null). A number
+    that `target` can't hold is an error, in ANSI mode and outside it.
     """
+    wide = "decimal(38," + target.rstrip(")").split(",")[1].strip() + ")"
     text = F.trim(c.cast("string"))
-    bare = F.regexp_replace(text, r"[^\sA-Za-z0-9.]", "").try_cast(target)
+    bare = F.regexp_replace(text, NUMBER_MARKS, "")
+    marked = bare.try_cast(wide)
     if keep_sign:
-        marked = F.when(text.rlike(r"^-|-$"), -bare).otherwise(bare).cast(target)
-    else:
-        marked = bare
+        marked = F.when(text.rlike(r"^-|-$"), -marked).otherwise(marked).cast(wide)
     # Plain numbers need no pattern; coalesce stops at the first that parses.
     plain = F.replace(text, F.lit(","), F.lit(""))
     if not keep_sign:
         plain = F.replace(plain, F.lit("-"), F.lit(""))
-    tries = [plain.try_cast(target), marked]
+    too_large = F.raise_error(F.concat(F.lit(f"number beyond {target}: "), text)).cast(target)
+    is_number = F.abs(bare.try_cast("double")) < float("inf")
+    wider = plain.try_cast(wide) if wide == target else F.coalesce(plain.try_cast(wide), marked)
+    tries = [plain.try_cast(target)]
+    if wide == target:
+        tries.append(marked)
+    else:
+        tries += [marked.try_cast(target), F.when(wider.isNotNull(), too_large)]
+    tries.append(F.when(is_number, too_large))
     if default is not None:
         tries.append(F.lit(default).cast(target))
     return F.coalesce(*tries)
@@ -118,11 +130,6 @@ def match_key(*cols: str) -> Column:
     return F.lower(F.concat(*[F.coalesce(quoted(c), F.lit("")) for c in cols]))
 
 
-def money(c: Column) -> Column:
-    """Text or number to exact money; text that is no number counts as zero."""
-    return F.coalesce(c.try_cast(MONEY), F.lit(0).cast(MONEY))
-
-
 def add(a: Column, b: Column) -> Column:
     return a + b
 
@@ -154,22 +161,43 @@ def from_units(c: Column, scale: int) -> Column:
     return c.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-scale))
 
 
-def decimal_scale(df: DataFrame, column: str) -> int | None:
-    """The scale of a decimal column whose units fit a bigint, else None."""
+def exact_type(df: DataFrame, column: str) -> T.DecimalType:
+    """The decimal type that holds a column's values; integers have no places."""
     kind = df.schema[column].dataType
-    fits = isinstance(kind, T.DecimalType) and kind.precision <= 18
-    return kind.scale if fits else None
+    if isinstance(kind, T.IntegralType):
+        return T.DecimalType(20, 0)
+    if not isinstance(kind, T.DecimalType):
+        raise TypeError(f"exact sums need integers or decimals; {column} is {kind.simpleString()}")
+    return kind
 
 
-def exact_sum(df: DataFrame, column: str, value: Column | None = None) -> Column:
-    """Sum of `column`, or of `value` made from it.
+def decimal_sum(value: Column, kind: T.DecimalType) -> Column:
+    """Sum of values of a decimal type, exact and the same in ANSI mode and outside it.
 
-    Decimals that fit are summed as bigint units, several times faster than
-    decimals of more than 18 digits and just as exact; in ANSI mode a sum beyond
-    9.2e18 units fails instead of wrapping.
+    Up to 18 digits the units are summed as two bigints, of the low 20 bits and the rest,
+    several times faster than wide decimals; they hold totals up to 9.6e24 units. Wider
+    types are summed as decimals. A total beyond either is an error.
     """
+    scale = kind.scale
+    if kind.precision > 18:
+        total = F.sum(value.cast(kind))
+        if kind.precision <= 28:  # ten digits to spare
+            return total.cast(f"decimal(38,{scale})")
+        lost = total.isNull() & (F.count(value) > 0)
+        return F.when(lost, _overflow(scale)).otherwise(total).cast(f"decimal(38,{scale})")
+    units = to_units(value.cast(kind), scale)
+    high, low = F.try_sum(F.shiftright(units, 20)), F.try_sum(units.bitwiseAND((1 << 20) - 1))
+    whole = (high.cast("decimal(20,0)") * F.lit(Decimal(1 << 20)) + low).cast("decimal(38,0)")
+    lost = high.isNull() & low.isNotNull()
+    place = F.lit(Decimal(1).scaleb(-scale))
+    return F.when(lost, _overflow(scale)).otherwise((whole * place).cast(f"decimal(38,{scale})"))
+
+
+def _overflow(scale: int) -> Column:
+    return F.raise_error(F.lit("a sum is beyond what its decimals hold")).cast(f"decimal(38,{scale})")
+
+
+def exact_sum(df: DataFrame, column: str, value: Column | None = None) -> Column:
+    """Exact sum of an integer or decimal column, or of `value` made from it; see `decimal_sum`."""
     value = quoted(column) if value is None else value
-    scale = decimal_scale(df, column)
-    if scale is None:
-        return F.sum(value)
-    return from_units(F.sum(to_units(value, scale)), scale).cast(f"decimal(28,{scale})")
+    return decimal_sum(value, exact_type(df, column))

@@ -68,6 +68,10 @@ def days_in_month(d: Column) -> Column:
     return F.dayofmonth(F.last_day(d))
 
 
+def last_of_month(day: dt.date) -> dt.date:
+    return (day.replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1)
+
+
 def fiscal_start_of(as_of: dt.date, start_month: int = FISCAL_START_MONTH) -> dt.date:
     year = as_of.year if as_of.month >= start_month else as_of.year - 1
     return dt.date(year, start_month, 1)

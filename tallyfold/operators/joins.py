@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyfold.functions.clean import quoted
+from tallyfold.sources.inline import inline_dim
 
 
 def left_lookup(df: DataFrame, dim: DataFrame, keys: str | Sequence[str]) -> DataFrame:
@@ -21,9 +22,9 @@ def left_lookup(df: DataFrame, dim: DataFrame, keys: str | Sequence[str]) -> Dat
     return df.join(dim, [keys] if isinstance(keys, str) else list(keys), "left")
 
 
-def inline_lookup(df: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """Left join with a literal table (see `inline_dim`), broadcast as it cannot grow."""
-    return df.join(F.broadcast(dim), [key], "left")
+def inline_lookup(df: DataFrame, rows: Sequence[tuple], names: Sequence[str]) -> DataFrame:
+    """Left join with a literal table on its first column, broadcast as it cannot grow."""
+    return df.join(F.broadcast(inline_dim(df.sparkSession, rows, names)), [names[0]], "left")
 
 
 def left_join_on(

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyfold.functions.clean import half, quoted, ratio, to_units, from_units
+from tallyfold.functions.clean import decimal_sum, exact_type, half, quoted, ratio
 from tallyfold.functions.dates import (
     days_in_month,
     fiscal_start_of,
@@ -102,9 +102,8 @@ def period_measures(
     """One row per key and billed month with every asked-for period and measure.
 
     bills     lines or any pre-aggregate of them that keeps the bill date
-    measures  suffix -> decimal column; period columns are named period + suffix.
-              Sums run on whole units of the last decimal place as bigint, which is
-              exact and fails rather than wraps beyond 9.2e18 units
+    measures  suffix -> integer or decimal column; period columns are named period +
+              suffix. Sums are exact, see `decimal_sum`
     end_rule  where LYMTD, L1MTD and L2MTD end for the current month: 'shifted' on
               the same day of the earlier month, 'as_of' on `as_of` itself, which
               spans all months in between
@@ -129,7 +128,7 @@ def period_measures(
         first_used = fiscal_start_of(floor)
         bills = bills.filter(F.col(date) >= F.lit(first_used.replace(year=first_used.year - 1)))
 
-    scales = {s: bills.schema[c].dataType.scale for s, c in measures.items()}
+    kinds = {s: exact_type(bills, c) for s, c in measures.items()}
     needed = set().union(*[_PARTS[p] for p in periods])
     if "LYMTD" in periods and ly_rule != "shifted":
         needed |= {"whole", "own"} if ly_rule == "as_of" else {"own", "ly"}
@@ -140,9 +139,11 @@ def period_measures(
     sums = []
     for part in sorted(needed):
         for suffix, column in measures.items():
-            x = to_units(quoted(column), scales[suffix])
+            x = quoted(column)
             kept = x if part == "whole" else F.when(tests[part], x)
-            sums.append(F.coalesce(F.sum(kept), F.lit(0)).alias(f"__{part}{suffix}"))
+            total = decimal_sum(kept, kinds[suffix])
+            zero = F.lit(0).cast(f"decimal(38,{kinds[suffix].scale})")
+            sums.append(F.coalesce(total, zero).alias(f"__{part}{suffix}"))
     if "LYMTD" in periods and ly_rule == "reuse":
         sums.append(F.max(tests["ly"].cast("int")).alias("__ly_billed"))
     months = bills.groupBy(
@@ -219,10 +220,10 @@ def period_measures(
     averages = ("L2MMTD", "L2M")
 
     def finished(period: str, suffix: str) -> Column:
-        value = from_units(quoted(period + suffix), scales[suffix])
+        value = quoted(period + suffix)
         if period in averages:
             value = half(value)
-        elif scales[suffix] > 2:
+        elif kinds[suffix].scale > 2:
             value = F.round(value, 2)
         return value.alias(period + suffix)
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyfold.functions import classify as C
 from tallyfold.functions import clean, dates
+from tallyfold.operators import periods
 
 
 def values(df, *cols):
@@ -41,6 +42,41 @@ def test_clean_decimal(spark):
     ]
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_no_amount_vanishes(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        wide = one(spark, [("10000000000000000.00",), ("-25000000000000000",), ("x",)], "x string",
+                   clean.clean_decimal(F.col("x"), target=clean.AMOUNT))
+        assert wide == [Decimal("1e16"), Decimal("-2.5e16"), Decimal(0)]
+        for text in ("10000000000000000.00", "1" + "0" * 40, "-1" + "0" * 40):
+            with pytest.raises(Exception, match="number beyond"):
+                one(spark, [(text,)], "x string", clean.clean_decimal(F.col("x"), target=clean.MONEY))
+        many = spark.createDataFrame([(Decimal("9999999999999999.00"),)] * 20, "x decimal(18,2)")
+        want = Decimal("199999999999999980.00")
+        assert many.agg(clean.exact_sum(many, "x")).first()[0] == want
+        less = many.select((-F.col("x")).cast("decimal(18,2)").alias("x"))
+        assert less.agg(clean.exact_sum(less, "x")).first()[0] == -want
+        days = many.withColumns({"k": F.lit(1), "d": F.lit(dt.date(2024, 5, 2))})
+        got = periods.period_measures(days, ["k"], "d", {"": "x"}, dt.date(2024, 5, 9), ["MTD", "YTD"]).first()
+        assert (got.MTD, got.YTD) == (want, want)
+        huge = spark.createDataFrame([(Decimal(9 * 10**35),)] * 20, "x decimal(38,2)")
+        with pytest.raises(Exception, match="beyond what its decimals hold|overflow|OVERFLOW"):
+            huge.agg(clean.exact_sum(huge, "x")).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_sums_of_integers_and_doubles(spark):
+    df = spark.createDataFrame([(2**62, 1.5)] * 4, "n bigint, x double")
+    assert df.agg(clean.exact_sum(df, "n")).first()[0] == 2**64
+    with pytest.raises(TypeError):
+        clean.exact_sum(df, "x")
+    days = df.withColumns({"k": F.lit(1), "d": F.lit(dt.date(2024, 5, 2)), "n": F.lit(3).cast("bigint")})
+    got = periods.period_measures(days, ["k"], "d", {"": "n"}, dt.date(2024, 5, 9), ["MTD"]).first()
+    assert got.MTD == 12
+
+
 def test_names_and_literals(spark):
     df = spark.createDataFrame([("x", "y")], "`mrp/cb` string, b string")
     assert clean.sanitise_names(df).columns == ["mrp_cb", "b"]

@@ -5,10 +5,9 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tallyfold.fixed_values import STATES
+from tallyfold.fixed_values import STATE_COLUMNS, STATES
 from tallyfold.operators import budget as B
 from tallyfold.operators import facts, groups, joins, pareto, recency, running
-from tallyfold.sources.inline import inline_dim
 
 AS_OF = dt.date(2024, 6, 10)
 
@@ -37,8 +36,7 @@ def test_unique_by_limits_rows_before_the_shuffle(spark):
 
 def test_lookups_keep_every_left_row(spark):
     left = spark.createDataFrame([("1", 1), ("37", 2), ("none", 3), (None, 4)], "state_code string, n int")
-    states = inline_dim(spark, STATES, ["state_code", "state_name"])
-    named = joins.inline_lookup(left, states, "state_code")
+    named = joins.inline_lookup(left, STATES, STATE_COLUMNS)
     assert rows(named, "n", "state_name") == [
         (1, "ANDHRA PRADESH"), (2, "Not defined in SAP"), (3, None), (4, None)]
     many = spark.createDataFrame([("1", "b"), ("1", "a"), ("2", "c")], "state_code string, x string")

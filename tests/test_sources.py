@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyfold import session
+from tallyfold.plans.reports import read_curated
 from tallyfold.sources import curated, delimited, jdbc
 
 
@@ -31,6 +32,27 @@ def test_read_delimited_over_lines(spark, tmp_path):
     assert rows(df) == [("1", "two\nlines")]
 
 
+def test_headers_that_differ_are_refused(spark, tmp_path):
+    write(f"{tmp_path}/T/a.csv", "K^N\nx^1\n")
+    write(f"{tmp_path}/T/b.csv", "N^K\n2^y\n")
+    with pytest.raises(Exception):
+        delimited.read_delimited(spark, f"{tmp_path}/T", "^").collect()
+    write(f"{tmp_path}/U/a.csv", "K^N\nx^1^9\n")
+    with pytest.raises(Exception):
+        delimited.read_delimited(spark, f"{tmp_path}/U", "^").collect()
+
+
+def test_ingest_options_and_stale_tables(spark, tmp_path):
+    raw, root = f"{tmp_path}/raw", f"{tmp_path}/curated"
+    write(f"{raw}/KNA1/a.csv", 'K,N\n1,"two\nlines"\n')
+    status = curated.ingest_all(
+        spark, raw, root, {"KNA1": ",", "VBRK": "^"}, options={"KNA1": {"multi_line": True, "partition_by": ["K"]}}
+    )
+    assert rows(curated.read_table(spark, root, "KNA1").select("N")) == [("two\nlines",)]
+    with pytest.raises(ValueError, match="VBRK"):
+        read_curated(spark, root, status)
+
+
 def test_ingest_all_goes_on_after_a_failure(spark, tmp_path):
     raw, root = f"{tmp_path}/raw", f"{tmp_path}/curated"
     write(f"{raw}/A/a.csv", "K^V\n007^ 008 \n")

@@ -119,6 +119,12 @@ SELECT c_custkey, {dbl(f'CAST(c_acctbal AS {MONEY})')} AS signed,
        abs({dbl(f'CAST(c_acctbal AS {MONEY})')}) AS unsigned
 FROM customer"""
 
+ORACLES["clean_decimals_wide"] = f"""
+SELECT c_nationkey::BIGINT AS c_nationkey, CAST(sum(CAST(
+  CAST(c_custkey AS VARCHAR) || '0000000000000' || CAST(abs(CAST(c_acctbal AS {MONEY})) AS VARCHAR)
+  AS DECIMAL(28,2))) AS VARCHAR) AS total
+FROM customer GROUP BY 1"""
+
 HOMES = """
 customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
 JOIN region r ON r.r_regionkey = n.n_regionkey"""
@@ -594,7 +600,7 @@ FROM measured"""
 
 ORACLES["customer_recency"] = f"""
 WITH {LINES},
-past AS (SELECT * FROM headers WHERE billing_date <= {TODAY}),
+past AS (SELECT * FROM headers),
 last AS (
   SELECT customer_code, max(billing_date) AS last_billed_date FROM past GROUP BY ALL
 ),
@@ -616,7 +622,7 @@ FROM aged JOIN detail USING (customer_code) JOIN sets USING (customer_code)"""
 def unbilled_sql(fallback: str) -> str:
     return f"""
 WITH {LINES},
-past AS (SELECT * FROM headers WHERE billing_date <= {TODAY}),
+past AS (SELECT * FROM headers),
 elapsed AS (
   SELECT CAST(unnest(generate_series({fy_start(TODAY)}, {CURRENT}, INTERVAL 1 MONTH)) AS DATE) AS m
 ),
@@ -740,7 +746,7 @@ FROM j"""
 ORACLES["roundtrip_parquet"] = f"""
 WITH {LINES}
 SELECT billing_document, customer_code, {day_text('billing_date')} AS billing_date, customer_group
-FROM headers WHERE {month('billing_date')} >= {START}"""
+FROM headers"""
 
 ORACLES["ingest_delimited"] = """
 SELECT CASE WHEN c_custkey = 0 THEN '' ELSE CAST(c_custkey AS VARCHAR) END AS "KUNNR",
