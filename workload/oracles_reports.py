@@ -14,6 +14,9 @@ from tallyfold.fixed_values import (
 from workload import oracles as o
 from workload.inputs import AS_OF, BUDGET_SEGMENTS, FLOOR, GROUP_OF_PRIORITY
 
+# One of each set of equal lines.
+ONCE = "SELECT DISTINCT l_orderkey, l_linenumber, l_suppkey, l_partkey, l_linestatus, l_returnflag, l_quantity, l_tax, "
+
 # Registered billing lines of the reported groups, with bare headers.
 SOLD = f"""
 net_lines AS (SELECT *, {o.NET} AS net FROM lineitem),
@@ -334,6 +337,10 @@ def build() -> dict[str, str]:
     return {
         "material_master": material_master(),
         "sales_force_master": sales_force_master(),
+        "deduped_lines": f"""
+WITH {SOLD.split("),\nmats AS")[0].replace("SELECT *, " + o.NET, ONCE + o.NET)})
+SELECT customer_group, count(plus) AS n, {o.dbl("sum(billing_amount)")} AS amount
+FROM sold GROUP BY customer_group""",
         "customer_master": customer_master(),
         "customer_budget_report": customer_budget(),
         "sales_register": sales_register(),

@@ -110,6 +110,23 @@ def clean_decimals_wide(spark, sf):
     return wide.groupBy("c_nationkey").agg(text(clean.exact_sum(wide, "amount")).alias("total"))
 
 
+LINE_KEY = [
+    "billing_document", "billing_item", "plant", "material_code", "item_category",
+    "material_description", "quantity", "net_value", "tax_amount",
+]
+
+
+@query
+def deduped_lines(spark, sf):
+    """Billing lines of which some were delivered twice, each counted once."""
+    given = extracts(spark, sf)
+    twice = given["VBRP"].unionByName(given["VBRP"].where("POSNR <> '2'"))
+    lines = billing.billing_lines(given["VBRK"], twice, line_key=LINE_KEY)
+    return lines.groupBy("customer_group").agg(
+        F.count("billing_item").alias("n"), clean.exact_sum(lines, "billing_amount").alias("amount")
+    )
+
+
 @query
 def normalised_keys(spark, sf):
     return places(spark, sf).select(
