@@ -57,6 +57,8 @@ BAND, PARTS, FINE_PARTS, HOT = 4, 0.42, 4.0, 24
 BUCKETS = 128
 #: Rounds of pivots at most, and the pairs per member row at which they end before.
 ROUNDS, FEW_PAIRS = 6, 2
+#: Stands for a null id where rows are told apart by id.
+FIRST_ID = -(2**63)
 #: Words a worker's cache of hashes holds.
 CACHED = 400_000
 #: Signatures have 48 bits, the lowest five of them for the band; more only cost comparisons.
@@ -412,7 +414,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 def superseded(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """owner (the id, null as the smallest) and text_key of documents that give way to another
     of their component: all but the one of smallest owner, then smallest text_key."""
-    own = F.coalesce("doc_id", F.lit(MARK)).alias("owner")
+    own = F.coalesce("doc_id", F.lit(FIRST_ID)).alias("owner")
     labelled = _labelled(docs, doc_id, text).where("label is not null").select("label", own, "text_key")
     least = labelled.groupBy("label").agg(F.min("owner").alias("least"))
     ranked = labelled.join(least, "label").withColumn("own", F.col("owner") == F.col("least"))
