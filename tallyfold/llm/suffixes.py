@@ -234,11 +234,21 @@ def _seeds(rows: DataFrame) -> DataFrame:
     """seed, print, owner, text_key and place: first window * 128 + number of windows.
 
     ``print`` is a hash of the stretch. Of equal texts in a batch only the first is read; the
-    others are copies of it.
+    others are copies of it. Of equal stretches of a seed in a batch the first stands for all;
+    the others are covered, and get a made-up seed, so that they spread, and ``-1 - place``.
     """
     schema = pa.schema([pa.field(n, pa.int64(), False) for n in ("seed", "print", "owner", "text_key", "place")])
     print_of = xxhash.xxh3_64_intdigest
 
+    def folded(parts: list[tuple]) -> pa.RecordBatch:
+        seed, mark, owner, key, place = (np.concatenate(c) for c in zip(*parts))
+        order = np.lexsort((place, key, owner, mark, seed))
+        seed, mark, owner, key, place = (c[order] for c in (seed, mark, owner, key, place))
+        again = np.append(False, (seed[1:] == seed[:-1]) & (mark[1:] == mark[:-1]))
+        spread = _mix((owner ^ key ^ place).view(np.uint64) * _ODD).view(np.int64)
+        seed, place = np.where(again, spread, seed), np.where(again, -1 - place, place)
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (seed, mark, owner, key, place)], schema=schema)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             first: dict[bytes, tuple] = {}
@@ -258,11 +268,11 @@ def _seeds(rows: DataFrame) -> DataFrame:
                 same = (np.full(len(n), x) for x in (owner, key))
                 out.append((seeds.view(np.int64), prints.view(np.int64), *same, begin * 128 + n))
                 size += len(n)
-                if size > 200_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], schema=schema)
+                if size > 500_000:
+                    yield folded(out)
                     out, size = [], 0
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], schema=schema)
+                yield folded(out)
 
     ddl = ", ".join(f"{n} long not null" for n in schema.names)
     return rows.select("owner", "text_key", "raw").mapInArrow(run, ddl)
@@ -280,9 +290,15 @@ def _folded(seeds: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, ordinal, alone = np.full(5, MARK), 0, None
         for batch in batches:
-            if not len(batch):
-                continue
             rows = np.stack([c.to_numpy() for c in batch.columns])
+            known = rows[4] < 0
+            if known.any():
+                gone = rows[:, known]
+                parts = (gone[2], gone[3], -1 - gone[4], gone[0], np.full(gone.shape[1], -1))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in parts], names=names)
+                rows = rows[:, ~known]
+            if not rows.shape[1]:
+                continue
             steps = np.diff(rows, axis=1, prepend=last[:, None]) != 0
             new_seed, again = steps[0].copy(), ~steps.any(axis=0)
             if last[4] == MARK:  # a place is never negative
