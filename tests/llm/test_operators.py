@@ -359,8 +359,9 @@ def jaccard_components(awkward):
     return Counter((i, len(s), least.get(find(x))) for x, (i, s) in enumerate(sets))
 
 
-@pytest.mark.parametrize("batch", [10_000, 5])
-def test_jaccard_join(spark, sf, awkward, batch):
+@pytest.mark.parametrize("batch, hot", [(10_000, 24), (5, 1)])
+def test_jaccard_join(spark, sf, awkward, monkeypatch, batch, hot):
+    monkeypatch.setattr(partenum, "HOT", hot)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
     try:
         assert rows(registry.QUERIES["op10_partenum_join"](spark, sf)) == jaccard_components(awkward)
