@@ -14,9 +14,7 @@ every element as a signature of its own, which always suffices.
 
 Prefix. In any order common to all sets, the first k + 1 signatures of a set are enough, by the
 prefix principle. The order is by how many sets share a signature, counted over all of them, so
-passages that many documents hold come last and rarely bring their documents together. Where
-more than ``HOT`` sets still share a signature, they are signed again over a much finer partition
-and their prefixes taken by rarity among them.
+passages that many documents hold come last and do not bring their documents together.
 
 Links. In a group of sets that share a signature, all are compared with one pivot; after some
 rounds with other pivots, only sets still in different components are paired. Copies and near
@@ -50,13 +48,12 @@ from tallyfold.session import stage
 WORDS = 5
 #: Link when OF * intersection >= AT_LEAST * union.
 AT_LEAST, OF = 75, 100
-#: Bands of sizes are powers of this. Parts per element of a band's largest set, for all sets
-#: and for those in hot groups; sets that share a signature in a group that is not hot.
-BAND, PARTS, FINE_PARTS, HOT = 4, 0.42, 4.0, 24
+#: Bands of sizes are powers of this. Parts per element of a band's largest set.
+BAND, PARTS = 4, 0.42
 #: Buckets of a sketch; each takes a byte for a count and a byte for a sum.
 BUCKETS = 128
 #: Rounds of pivots at most, and the pairs per member row at which they end before.
-ROUNDS, FEW_PAIRS = 6, 2
+ROUNDS, FEW_PAIRS = 6, 1
 #: Stands for a null id where rows are told apart by id.
 FIRST_ID = -(2**63)
 #: Words a worker's cache of hashes holds.
@@ -115,33 +112,33 @@ def differences(size: int, most: int) -> int:
     return (OF - AT_LEAST) * (size + most) // (OF + AT_LEAST)
 
 
-def _places(shingles: np.ndarray, top: int, per_element: float) -> tuple[np.ndarray, np.ndarray]:
+def _places(shingles: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
     """The part of each element, and where parts in use start: elements are sorted, so parts are
     runs. First-level parts have two second-level parts each."""
-    parts = 2 * max(1, int(top * per_element / 2))
+    parts = 2 * max(1, int(top * PARTS / 2))
     place = ((shingles >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
     return place, np.flatnonzero(np.diff(place, prepend=np.uint64(2**63)))
 
 
-def prefixes(shingles: np.ndarray, per_element: float = PARTS) -> Iterator[tuple[int, int, int, int]]:
+def prefixes(shingles: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
     """(band, bound of its sizes, prefix needed, signatures there are) of a set; single elements,
     where it needs them, under a band of their own."""
     size = len(shingles)
     for number, top in bands_of(size):
         k = differences(size, min(OF * size // AT_LEAST, top - 1))
-        there = len(_places(shingles, top, per_element)[1])
+        there = len(_places(shingles, top)[1])
         yield 2 * number, top, k + 1, there
         if there <= k:
             yield 2 * number + 1, top, k + 1, size
 
 
-def signatures(shingles: np.ndarray, per_element: float = PARTS) -> Iterator[tuple[int, int, np.ndarray]]:
+def signatures(shingles: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
     """(band, prefix needed, signatures) as `prefixes` has them."""
-    for band, top, need, _ in prefixes(shingles, per_element):
+    for band, top, need, _ in prefixes(shingles):
         if band % 2:
             own = _mix(shingles ^ np.uint64(2 * top + 1))
         else:
-            place, starts = _places(shingles, top, per_element)
+            place, starts = _places(shingles, top)
             content = np.add.reduceat(_mix(shingles * _M1), starts)
             own = _mix((content + place[starts] * _M2) ^ np.uint64(top))
         yield band, need, _short(own, band)
@@ -232,44 +229,17 @@ def _signed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return _rows(docs, doc_id, text).mapInArrow(run, "sign long not null, set_id long not null")
 
 
-def _signed_again(sets: DataFrame) -> DataFrame:
-    """(sign, set_id, band, spare) over the fine partition, all signatures of each set."""
-    names = ["sign", "set_id", "band", "spare"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for one, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for band, need, own in signatures(np.frombuffer(raw.as_py(), np.uint64), FINE_PARTS):
-                    same = (np.full(len(own), x, np.int64) for x in (one, band, len(own) - need))
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (own.view(np.int64), *same)], names=names)
-
-    return sets.select("set_id", "shingles").mapInArrow(run, ", ".join(f"{n} long" for n in names))
-
-
-def _rarest(signed: DataFrame) -> DataFrame:
-    """Of (sign, set_id, band, spare, n) the rows in each set's prefix by falling rarity.
-
-    Signatures that no other set has are not among the rows, and are the rarest of all.
-    """
-    last = Window.partitionBy("set_id", "band").orderBy(F.desc("n"), F.desc("sign"))
-    ranked = signed.withColumn("from_last", F.row_number().over(last))
-    return ranked.where("from_last > spare").select("sign", "set_id")
-
-
 def _paired(pairs: DataFrame, sets: DataFrame, columns: list[str]) -> DataFrame:
     """(a, b) of set ids with columns of both sets."""
     side = lambda n: sets.select(F.col("set_id").alias(n), *[F.col(c).alias(f"{c}_{n}") for c in columns])
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", *[f"{c}_{n}" for c in columns for n in "ab"])
 
 
-def _near(a: str, b: str) -> Column:
-    """Sizes that sets which link may have."""
-    return (OF * F.least(a, b)) >= (AT_LEAST * F.greatest(a, b))
-
-
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) of set ids whose sets link: by sizes, then sketches, then elements."""
-    sketched = _paired(pairs, sets, ["n_shingles", "sketch"])
+    near = (OF * F.least("n_shingles_a", "n_shingles_b")) >= (AT_LEAST * F.greatest("n_shingles_a", "n_shingles_b"))
+    fit = _paired(pairs, sets, ["n_shingles"]).where(near).select("a", "b")
+    sketched = _paired(fit, sets, ["n_shingles", "sketch"])
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -310,67 +280,59 @@ def link_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     # The rarest signatures of each set and band, as many as its prefix needs.
     band = F.col("sign").bitwiseAND(F.lit((1 << BAND_BITS) - 1)).alias("band")
     spares = worded.select("set_id", F.inline("spares")).dropDuplicates(["set_id", "band"])
-    rare = stage(_rarest(members.select("sign", "set_id", "n", band).join(spares, ["set_id", "band"])), "rare")
-    several = rare.groupBy("sign").agg(F.count("*").alias("n")).where("n > 1")
-    shared = stage(rare.join(several, "sign"), "shared")
+    last = Window.partitionBy("set_id", "band").orderBy(F.desc("n"), F.desc("sign"))
+    rare = (
+        members.select("sign", "set_id", "n", band)
+        .join(spares, ["set_id", "band"])
+        .withColumn("from_last", F.row_number().over(last))
+        .where("from_last > spare")
+        .select("sign", "set_id")
+    )
+    rare = stage(rare, "rare")
+    several = rare.groupBy("sign").agg(F.count("*").alias("n")).where("n > 1").select("sign")
+    groups = stage(rare.join(several, "sign", "left_semi"), "groups")
 
     # What is known of their sets, the elements from the text of one document of each.
     first = worded.groupBy("set_id").agg(F.min(_row_key()).alias("row_key"))
-    chosen = shared.select("set_id").distinct().join(first, "set_id")
+    chosen = groups.select("set_id").distinct().join(first, "set_id")
     sets = stage(_elements(docs, chosen, doc_id, text), "sets")
 
-    # Sets of hot groups, signed again.
-    hot = shared.where(F.col("n") > HOT).select("set_id").distinct()
-    again = _signed_again(sets.join(hot, "set_id", "left_semi"))
-    common = again.groupBy("sign").agg(F.count("*").alias("n")).where("n > 1")
-    fine = stage(_rarest(again.join(common, "sign")), "fine")
-    groups = shared.where(F.col("n") <= HOT).select("sign", "set_id").unionByName(fine)
-
-    labels = sets.select(F.col("set_id").alias("node"), F.col("set_id").alias("label"), F.col("n_shingles").alias("size"))
-    turn, mixed = 0, _mixed(groups, labels, 0)
-    while turn < ROUNDS:
+    nodes = groups.select(F.col("set_id").alias("node")).distinct()
+    labels = stage(nodes.withColumn("label", F.col("node")), "labels")
+    for turn in range(ROUNDS):
+        labelled = groups.join(labels.withColumnRenamed("node", "set_id"), "set_id")
+        mixed = labelled.groupBy("sign").agg(
+            F.count("*").alias("n"), F.min("label").alias("l"), F.max("label").alias("h"), F.min(_turned(turn)).alias("key")
+        )
+        mixed = stage(labelled.join(mixed.where("l < h").drop("l", "h"), "sign").withColumn("own", _turned(turn)), "mixed")
         rows, pairs = mixed.agg(F.count("*"), F.sum(F.col("n") - 1) / 2).first()
         if not rows or (turn and pairs <= FEW_PAIRS * rows):
             break
-        pivots = mixed.where("own = key").select(
-            "sign", F.col("set_id").alias("a"), F.col("label").alias("la"), F.col("size").alias("size_a")
-        )
-        star = mixed.join(pivots, "sign").where((F.col("label") != F.col("la")) & _near("size", "size_a"))
-        links = stage(_linked(star.select("a", F.col("set_id").alias("b")).distinct(), sets), "links")
-        if links.isEmpty():
-            break
-        labels, turn = _merged(labels, links), turn + 1
-        mixed = _mixed(groups, labels, turn)
-    side = lambda n: mixed.select("sign", *[F.col(c).alias(f"{c}_{n}") for c in ("set_id", "label", "size")])
-    rest = side("a").join(side("b"), "sign").where(
-        (F.col("set_id_a") < F.col("set_id_b")) & (F.col("label_a") != F.col("label_b")) & _near("size_a", "size_b")
-    )
-    rest = rest.select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b")).distinct()
-    final = _merged(labels, stage(_linked(rest, sets), "links"))
-    return owners, final.select("node", "label")
-
-
-def _mixed(groups: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
-    """Rows of groups that hold several components, with the group's size and this turn's pivot."""
-    labelled = groups.join(labels.withColumnRenamed("node", "set_id"), "set_id").withColumn("own", _turned(turn))
-    found = labelled.groupBy("sign").agg(
-        F.count("*").alias("n"), F.min("label").alias("l"), F.max("label").alias("h"), F.min("own").alias("key")
-    )
-    return stage(labelled.join(found.where("l < h").drop("l", "h"), "sign"), "mixed")
+        pivots = mixed.where("own = key").select("sign", F.col("set_id").alias("a"), F.col("label").alias("la"))
+        star = mixed.join(pivots, "sign").where("label <> la").select("a", F.col("set_id").alias("b")).distinct()
+        labels = _merged(labels, _linked(star, sets))
+    labelled = groups.join(labels.withColumnRenamed("node", "set_id"), "set_id")
+    mixed = labelled.groupBy("sign").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l < h")
+    mixed = stage(labelled.join(mixed.select("sign"), "sign", "left_semi"), "mixed")
+    left = mixed.select("sign", F.col("set_id").alias("a"), F.col("label").alias("la"))
+    right = mixed.select("sign", F.col("set_id").alias("b"), F.col("label").alias("lb"))
+    rest = left.join(right, "sign").where("a < b and la <> lb").select("a", "b").distinct()
+    return owners, _merged(labels, _linked(rest, sets))
 
 
 def _turned(turn: int) -> Column:
-    """An order of sets that differs from round to round. Sets that tie are both pivots."""
-    return F.xxhash64(F.lit(turn), "set_id")
+    """An order of sets that differs from round to round, without ties."""
+    return F.struct(F.xxhash64(F.lit(turn), "set_id"), "set_id")
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels after further links between nodes."""
+    links = stage(links, "links")
     end = lambda n: labels.select(F.col("node").alias(n), F.col("label").alias(f"l{n}"))
     joined = links.join(end("a"), "a").join(end("b"), "b").select("la", "lb")
     moved = components(joined, "la", "lb").select(F.col("node").alias("label"), F.col("label").alias("to"))
-    merged = labels.join(moved, "label", "left")
-    return stage(merged.select("node", F.coalesce("to", "label").alias("label"), "size"), "labels")
+    merged = labels.join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+    return stage(merged, "labels")
 
 
 def _elements(docs: DataFrame, chosen: DataFrame, doc_id: str, text: str) -> DataFrame:
