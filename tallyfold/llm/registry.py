@@ -7,7 +7,10 @@ from tallyfold.llm.chunking import op8_chunk_dedup
 from tallyfold.llm.mih import op1_multi_index_hashing
 from tallyfold.llm.packing import op9_best_two_fit
 from tallyfold.llm.partenum import op10_partenum_join
+from tallyfold.llm.phrases import OP13_SQL, op13_collocations
+from tallyfold.llm.pu_quality import op12_nnpu_quality
 from tallyfold.llm.quality import OP5_SQL, op5_quality_rules
+from tallyfold.llm.repair import op11_conversation_repair
 from tallyfold.llm.secrets import op4_secret_ledger
 from tallyfold.llm.sharding import op2_stratified_shards
 from tallyfold.llm.suffixes import op3_suffix_dedup
@@ -24,8 +27,12 @@ QUERIES = {
     "op8_chunk_dedup": op8_chunk_dedup,
     "op9_best_two_fit": op9_best_two_fit,
     "op10_partenum_join": op10_partenum_join,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_nnpu_quality": op12_nnpu_quality,
+    "op13_collocations": op13_collocations,
 }
 #: The others can't be expressed in SQL; tests/llm holds them against brute force.
 ORACLES = {
     "op5_quality_rules": OP5_SQL,
+    "op13_collocations": OP13_SQL,
 }
