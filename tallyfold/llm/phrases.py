@@ -15,7 +15,7 @@ totals below ``least`` go.
 
 Defined cases: null and empty texts hold no words; a null lang is ``und``, an empty one its own;
 repeated rows count each; an empty table gives an empty result; ids and other columns are not
-read. Texts of any length are read whole, in parts of about 4 MiB cut where pieces end.
+read. Texts of any length are read whole, in parts of about 1 MiB cut where pieces end.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ HEAD, SIDE, DENSE = 1 << 17, 10, 1 << 14
 #: log2 of the bits that mark frequent units.
 BITMAP = 26
 #: Bytes split at once, words counted and pairs held before they are emitted.
-AT_ONCE, WORDS_HELD, PAIRS_HELD = 4 << 20, 300_000, 4 << 20
+AT_ONCE, WORDS_HELD, PAIRS_HELD = 1 << 20, 300_000, 2 << 20
 #: Codes from here on are hashes of units without a number.
 TAIL = 1 << 62
 
