@@ -6,9 +6,14 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tallyfold.functions.clean import exact_sum, quoted
 from tallyfold.operators.joins import left_join_on
+from tallyfold.session import stage
+
+#: A key is hot from this share of the rows on, in a sample of so many.
+HOT_SHARE, HOT_SAMPLE = 0.01, 20_000
 
 
 def group_sum(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
@@ -20,16 +25,37 @@ def group_totals(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column])
     return df.groupBy(*keys).agg(*[a.alias(name) for name, a in aggs.items()])
 
 
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, sampled: int = HOT_SAMPLE
+) -> list[tuple]:
+    """Keys that hold at least `share` of the rows, as a bounded sample shows them.
+
+    One narrow pass; the driver gets one row per hot key, of which there are at most
+    1 / `share`. A key well above the share is never missed, one near it may be. A table
+    that fits the sample is small enough for one task and has no hot key.
+    """
+    some = df.select(*[quoted(k) for k in keys]).orderBy(F.rand(11)).limit(sampled)
+    counts = some.groupBy(*some.columns).count().withColumn("all", F.sum("count").over(Window.partitionBy()))
+    hot = counts.where((F.col("all") >= sampled) & (F.col("count") >= F.col("all") * share))
+    return [tuple(r)[: len(keys)] for r in hot.collect()]
+
+
 def with_group_totals(
-    df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column]
+    df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column], *, hot: bool | None = None
 ) -> DataFrame:
-    """Every row with its group's totals.
+    """Every row with its group's totals; `aggs` are plain aggregates.
 
-    Aggregates and joins back instead of opening a window: the aggregate combines
-    before its shuffle and AQE can split a hot key in the join, while a window
-    would sort the whole group in one task.
+    Where no key is hot, a window gives them, in one scan and one shuffle. A hot group
+    would be sorted by a single task there: then the totals are aggregated, which combines
+    before its shuffle, staged, and joined back, where AQE can split the hot key. Unless
+    `hot` says which, the keys are measured first, see `hot_keys`.
     """
-    totals = group_totals(df, keys, aggs)
+    if hot is None:
+        hot = bool(hot_keys(df, keys))
+    if not hot:
+        own = Window.partitionBy(*[quoted(k) for k in keys])
+        return df.withColumns({name: agg.over(own) for name, agg in aggs.items()})
+    totals = stage(group_totals(df, keys, aggs), "group_totals")
     return left_join_on(df, totals, {k: k for k in keys}, list(aggs), null_safe=True)
 
 

@@ -84,8 +84,8 @@ def period_join(
     """Inner join of anchors with the bills of the same key dated in [first, last].
 
     Each anchor meets bills only in the months its window touches, as an equi-join on
-    key and month; the exact dates are tested within them. For the measures of
-    `period_measures`, which need no such join, use that operator.
+    key and month; the exact dates are tested within them. Sums over windows need no
+    pairs: `window_sums` gives them, and `period_measures` those of the fiscal calendar.
     """
     months = F.sequence(
         F.trunc(quoted(first), "month"), F.trunc(quoted(last), "month"), F.expr("interval 1 month")

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallyfold.functions.clean import decimal_sum, exact_type, half, quoted, ratio
+from tallyfold.functions.clean import decimal_sum, exact_sum, exact_type, half, quoted, ratio
 from tallyfold.functions.dates import (
     days_in_month,
     fiscal_start_of,
@@ -234,6 +234,59 @@ def period_measures(
     )
 
 
+def window_sums(
+    anchors: DataFrame,
+    bills: DataFrame,
+    keys: Sequence[str],
+    date: str,
+    first: str,
+    last: str,
+    sums: Mapping[str, str],
+    count: str | None = None,
+) -> DataFrame:
+    """Each anchor with the sums over the bills of its key dated in [first, last].
+
+    `sums` maps new columns to integer or decimal ones of `bills`; `count` names a column
+    for the number of bills. No anchor meets a bill: bills are summed to one row per key and
+    day, days on which some window begins or ends join them as empty days, and a running sum
+    per key tells what lies up to any day. A window is the difference of the sums at its two
+    ends, each fetched by one equi-join on key and day, so there are never more rows than
+    anchors and days. Per key a task sorts calendar days, however many bills or anchors the
+    key has. Anchors without bills, with an empty window or with a null in key or date get 0.
+    """
+    day = F.col("__day")
+    totals = {f"__sum{k}": exact_sum(bills, c) for k, c in enumerate(sums.values())}
+    named = [quoted(k) for k in keys]
+    daily = bills.groupBy(*named, quoted(date).alias("__day")).agg(
+        *[c.alias(n) for n, c in totals.items()], F.count("*").alias("__n")
+    )
+    start = F.date_sub(quoted(first), 1)
+    ends = [anchors.select(*named, c.alias("__day")) for c in (start, quoted(last))]
+    points = ends[0].union(ends[1]).distinct().withColumn("__end", F.lit(True))
+    both = daily.unionByName(points, allowMissingColumns=True).where(day.isNotNull())
+    through = Window.partitionBy(*named).orderBy("__day").rangeBetween(Window.unboundedPreceding, 0)
+    columns = [*totals, "__n"]
+    sums_upto = [F.coalesce(F.sum(c).over(through), F.lit(0)).alias(c) for c in columns]
+    upto = both.select(*named, day, "__end", *sums_upto).where("__end")
+    out = anchors
+    for side, end in (("a", start), ("b", quoted(last))):
+        look = upto.select(
+            *named, day.alias(f"__day_{side}"), *[F.col(c).alias(c + side) for c in columns]
+        )
+        out = out.withColumn(f"__day_{side}", end).join(look, [*keys, f"__day_{side}"], "left")
+    whole = quoted(first) <= quoted(last)
+
+    def between(c: str) -> Column:
+        kind = "bigint" if c == "__n" else upto.schema[c].dataType
+        change = (F.col(c + "b") - F.col(c + "a")).cast(kind)
+        return F.coalesce(F.when(whole, change), F.lit(0).cast(kind))
+
+    given = [between(c).alias(n) for c, n in zip(totals, sums)]
+    if count:
+        given.append(between("__n").alias(count))
+    return out.select(*[F.col(f"`{c}`") for c in anchors.columns], *given)
+
+
 def growth(df: DataFrame, pairs: Mapping[str, tuple[str, str]]) -> DataFrame:
     """Columns (a - b) / b, null where b is zero."""
     return df.withColumns(

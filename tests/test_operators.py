@@ -97,28 +97,85 @@ def test_running_sum_with_a_hot_group(spark, slices):
     assert got.columns == ["k", "o", "id", "v", "s"]
 
 
+AWKWARD = [
+    (k, o, t, i, None if i % 11 == 0 else Decimal(i * 7 % 23 - 9))
+    for i, (k, o, t) in enumerate(
+        [("hot", i % 9 if i % 4 else None, "xyz"[i % 3] if i % 5 else None) for i in range(600)]
+        + [(None, 1, "a")] * 40 + [(f"k{i}", i % 3, None) for i in range(60)] + [("nulls", 3, "b")] * 3
+    )
+]
+
+
+def sort_place(o, t, i, falling, nulls_first):
+    null = (o is None) != nulls_first
+    return null, 0 if o is None else -o if falling else o, t is not None, t or "", i
+
+
+@pytest.mark.parametrize("falling, nulls_first", [(False, True), (True, False), (True, True), (False, False)])
+def test_running_sum_with_nulls_and_directions(spark, falling, nulls_first):
+    df = spark.createDataFrame(AWKWARD, "k string, o int, t string, id int, v decimal(10,0)").repartition(5)
+    o = F.col("o")
+    if falling:
+        o = o.desc_nulls_first() if nulls_first else o.desc()
+    else:
+        o = o if nulls_first else o.asc_nulls_last()
+    want, sums = {}, {}
+    for k, a, t, i, v in sorted(AWKWARD, key=lambda r: sort_place(*r[1:4], falling, nulls_first)):
+        if v is not None:
+            sums[k] = sums.get(k, 0) + v
+        want[i] = sums.get(k)
+    for slices in (1, 3, 40, 500):
+        got, total = running.running_sum_and_total(df, ["k"], [o, "t", "id"], "v", "s", slices=slices)
+        assert {r.id: r.s for r in got.collect()} == want
+        assert total == sum(r[4] for r in AWKWARD if r[4] is not None)
+
+
+@pytest.mark.parametrize("slices", [2, 30])
+def test_cumulative_sum_with_ties_over_several_groups(spark, slices):
+    df = spark.createDataFrame(AWKWARD, "k string, o int, t string, id int, v decimal(10,0)").repartition(3)
+    want = set()
+    for k in {r[0] for r in AWKWARD}:
+        own = [r for r in AWKWARD if r[0] == k]
+        known = [r[4] for r in own if r[4] is not None]
+        for r in own:
+            upto = [x[4] for x in own if x[4] is not None and (x[1] is not None or r[1] is None)
+                    and (r[1] is None or x[1] >= r[1])]
+            want.add((r[3], sum(upto) if upto else None, sum(known) if known else None))
+    got = running.cumulative_sum(df, ["k"], "o", "v", "c", total="t_all", slices=slices)
+    assert {(r.id, r.c, r.t_all) for r in got.collect()} == want
+
+
+def test_running_sum_of_doubles_and_of_nothing(spark):
+    df = spark.createDataFrame([("a", i, float(i)) for i in range(40)], "k string, id int, v double")
+    got = running.running_sum(df, ["k"], ["id"], "v", "s", slices=6)
+    assert {r.id: r.s for r in got.collect()} == {i: i * (i + 1) / 2 for i in range(40)}
+    none, total = running.running_sum_and_total(df.limit(0), ["k"], ["id"], "v", "s")
+    assert none.collect() == [] and total is None
+    with pytest.raises(ValueError):
+        running.running_sum(df, ["k"], [F.col("id") + 1], "v", "s")
+
+
 def test_running_sum_over_everything(spark):
     df = spark.range(50).selectExpr("id", "cast(id AS decimal(18,2)) AS v")
     got = running.running_sum(df, [], [F.col("id")], "v", "s", slices=4)
     assert {r.id: int(r.s) for r in got.collect()} == {i: i * (i + 1) // 2 for i in range(50)}
 
 
-@pytest.mark.parametrize("few", [True, False])
-def test_cumulative_sum_treats_ties_as_peers(spark, few):
+@pytest.mark.parametrize("slices", [None, 1, 2, 7])
+def test_cumulative_sum_treats_ties_as_peers(spark, slices):
     df = spark.createDataFrame(
         [("y", Decimal(v)) for v in (50, 30, 30, -10)] + [(None, Decimal(5))], "p string, v decimal(18,2)"
     )
-    got = running.cumulative_sum(df, ["p"], "v", "v", "c", few_rows=few)
-    got = running.partition_total(got, ["p"], "v", "t", few_rows=few)
+    got = running.cumulative_sum(df, ["p"], "v", "v", "c", total="t", slices=slices)
+    assert rows(got, "v", "t") == rows(running.partition_total(df, ["p"], "v", "t"), "v", "t")
     assert sorted(tuple(map(int, r)) for r in got.select("v", "c", "t").collect()) == [
         (-10, 100, 100), (5, 5, 5), (30, 110, 100), (30, 110, 100), (50, 50, 100)]
 
 
-@pytest.mark.parametrize("few", [True, False])
-def test_pareto(spark, few):
+def test_pareto(spark):
     data = [(2024, "big", 90), (2024, "small", 10), (2023, "a", 40), (2023, "b", 40), (2023, "c", 20)]
     df = spark.createDataFrame([(y, b, Decimal(v)) for y, b, v in data], "y int, b string, v decimal(18,2)")
-    got = pareto.pareto(df, "b", "v", "y", few_groups=few)
+    got = pareto.pareto(df, "b", "v", "y")
     assert rows(got, "y", "b", "pareto") == [
         (2023, "a", "80"), (2023, "b", "80"), (2023, "c", "20"), (2024, "big", "20"), (2024, "small", "20")]
 

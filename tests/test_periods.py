@@ -9,7 +9,7 @@ from decimal import ROUND_HALF_UP, Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tallyfold.operators.periods import PERIODS, growth, per_day, period_measures
+from tallyfold.operators.periods import PERIODS, growth, per_day, period_measures, window_sums
 
 AS_OF = dt.date(2024, 5, 20)
 CENT = Decimal("0.01")
@@ -194,3 +194,51 @@ def test_unknown_options(spark, bills):
         period_measures(frame(spark, bills), ["k"], "d", {"": "v"}, AS_OF, ["QTD"])
     with pytest.raises(ValueError):
         period_measures(frame(spark, bills), ["k"], "d", {"": "v"}, AS_OF, end_rule="x")
+
+
+def test_window_sums_against_brute_force(spark):
+    rng = random.Random(8)
+    start = dt.date(2023, 1, 1)
+    bills = [(rng.choice(["a", "b", None]), start + dt.timedelta(days=rng.randrange(300)),
+              rng.choice([None, Decimal(rng.randrange(-900, 900)) / 100]), rng.randrange(9)) for _ in range(400)]
+    bills += [("a", None, Decimal(5), 1)]
+    anchors = [(None, 900, start, start), ("c", 901, start, start), ("a", 902, None, start), ("a", 903, start, None)]
+    for i in range(120):
+        first = start + dt.timedelta(days=rng.randrange(-20, 320))
+        anchors.append((rng.choice("ab"), i, first, first + dt.timedelta(days=rng.randrange(-3, 90))))
+    anchors += [("b", 904, dt.date(1900, 1, 1), dt.date(2100, 1, 1))] * 2
+    got = window_sums(
+        spark.createDataFrame(anchors, "k string, i int, lo date, hi date").repartition(3),
+        spark.createDataFrame(bills, "k string, d date, v decimal(18,2), q int").repartition(4),
+        ["k"], "d", "lo", "hi", {"total": "v", "units": "q"}, "n",
+    )
+    assert got.columns == ["k", "i", "lo", "hi", "total", "units", "n"]
+    want = []
+    for k, i, lo, hi in anchors:
+        inside = [b for b in bills if k and b[0] == k and b[1] and lo and hi and lo <= b[1] <= hi]
+        want.append((i, sum((b[2] or 0 for b in inside), Decimal(0)), sum(b[3] for b in inside), len(inside)))
+    assert sorted((r.i, r.total, int(r.units), r.n) for r in got.collect()) == sorted(want)
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_window_sums_never_pair_anchors_with_bills(spark):
+    """No step of a hot key's sums has more rows than its anchors and days."""
+    day = F.expr("date_add(DATE'2020-01-01', CAST(id % 200 AS INT))")
+    bills = spark.range(20_000).select(F.lit("hot").alias("k"), day.alias("d"), F.lit(1).alias("v"))
+    anchors = spark.range(5_000).select(F.lit("hot").alias("k"), F.date_sub(day, 90).alias("lo"), day.alias("hi"))
+    got = window_sums(anchors, bills, ["k"], "d", "lo", "hi", {"s": "v"}).select(F.sum("s"), F.count("*"))
+    ((total, n),) = got.collect()
+    assert n == 5_000 and total == sum(min(i % 200 + 1, 91) * 100 for i in range(5_000))
+    made = []
+
+    def walk(node):
+        if node.nodeName().endswith(("Join", "Window", "HashAggregate")):
+            made.append(node.metrics().get("numOutputRows").get().value() if "Window" not in node.nodeName() else 0)
+        below = [node.plan()] if node.getClass().getSimpleName().endswith("QueryStageExec") else []
+        below += [node.children().apply(k) for k in range(node.children().size())]
+        for one in below:
+            walk(one)
+
+    walk(got._jdf.queryExecution().executedPlan().executedPlan())
+    assert len(made) > 5 and 0 < max(made) <= 5_000 + 200 * 8

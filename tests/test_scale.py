@@ -5,8 +5,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tallyfold.operators import facts, groups, joins
+from tallyfold.operators import facts, groups, joins, running
 from workload.inputs import AS_OF, FLOOR, bills, headers
+from workload.queries import REGISTRY
 
 SF = "/root/testdata/sf0.001"
 
@@ -54,6 +55,32 @@ def test_a_hot_group_is_split_in_the_join_back(spark, small_thresholds):
     assert "skew=true" in plan(full)
 
 
+def test_hot_keys_are_found_by_a_sample(spark):
+    assert groups.hot_keys(hot(spark), ["k"]) == [(0,)]
+    spread = spark.range(100_000).select((F.col("id") % 5000).alias("k"), F.lit(None).cast("string").alias("n"))
+    assert groups.hot_keys(spread, ["k"]) == [] and groups.hot_keys(spread, ["n"]) == [(None,)]
+    assert groups.hot_keys(spread.limit(0), ["k"]) == []
+
+
+def test_even_groups_are_totalled_in_one_scan(spark):
+    """Without a hot key the totals come from a window; the query reads orders twice, once for the months."""
+    text = plan(REGISTRY["group_totals"](spark, SF))
+    assert text.count("orders.parquet") == 2 and "Window" in text
+
+
+def test_stored_buckets_join_without_an_exchange(spark, small_thresholds):
+    df = REGISTRY["bucketed_fact"](spark, SF)
+    text = plan(df)
+    assert "SortMergeJoin" in text and "Exchange" not in text
+    assert text.count("FileScan") == 2 and text.count("SelectedBucketsCount: 16 out of 16") == 2
+    assert df.count() == REGISTRY["billing_fact"](spark, SF).count()
+
+
+def test_even_documents_are_read_once(spark, small_thresholds):
+    text = plan(REGISTRY["billing_fact"](spark, SF))
+    assert text.count("FileScan") == 2 and text.count("Join") == 1
+
+
 def test_a_hot_lookup_key_is_split(spark, small_thresholds):
     dim = spark.range(6000).select(F.col("id").alias("k"), F.lit("x").alias("n"))
     full = joins.left_lookup(hot(spark), dim, "k")
@@ -69,3 +96,30 @@ def test_date_filters_reach_the_scan(spark):
 def test_scans_read_only_needed_columns(spark):
     text = plan(bills(spark, SF).groupBy("product_brand").agg(F.sum("billed_quantity")))
     assert "l_extendedprice" not in text and "o_totalprice" not in text
+
+
+def test_a_hot_group_is_sliced(spark):
+    """A group with a third of the rows is spread over many slices of about equal size."""
+    by = [running.Order("v", True, False)]
+    cut = running.sliced(hot(spark), ["k"], by, "v", 24)
+    sizes = [r["count"] for r in cut.rows.where("k = 0").groupBy("__slice").count().collect()]
+    assert len(sizes) >= 7 and max(sizes) < 300_000 / 24 * 2
+    assert cut.total == sum(range(300_000))
+
+
+@pytest.mark.parametrize("name", ["pareto_line", "running_sum_rows"])
+def test_running_sums_read_the_lines_once(spark, name):
+    """The rows are read and sorted once; nothing is checkpointed or written beside them."""
+    df = REGISTRY[name](spark, SF)
+    text = plan(df)
+    assert text.count("lineitem.parquet") == 1 and "ExistingRDD" not in text
+    assert text.count("Window [") == 1
+
+
+@pytest.mark.parametrize("name", ["pareto_brand_fy", "pareto_customer_fy", "cumulative_by_year"])
+def test_cumulative_sums_sort_slices(spark, name):
+    """No window orders a fiscal year as a whole."""
+    text = plan(REGISTRY[name](spark, SF))
+    assert "lineitem" not in text and text.count("Window [") == 1
+    window = next(x for x in text.splitlines() if "Window [" in x)
+    assert "__slice" in window.split("], [")[1]

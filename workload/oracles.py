@@ -246,6 +246,8 @@ SELECT h.billing_document, customer_code, {day_text('billing_date')} AS billing_
 FROM headers h LEFT JOIN lines l ON l.billing_document = h.billing_document
 WHERE customer_group IN ({codes(REPORTED_GROUPS)})"""
 
+ORACLES["bucketed_fact"] = ORACLES["billing_fact"]
+
 ORACLES["unique_dim"] = f"""
 WITH {LINES},
 ranked AS (

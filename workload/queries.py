@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from decimal import Decimal
 
@@ -15,8 +16,8 @@ from tallyfold.functions import clean, dates
 from tallyfold.operators import budget as B
 from tallyfold.operators import facts, groups, joins, pareto, periods, recency, running
 from tallyfold.plans import billing, masters, register, reports
-from tallyfold.session import scratch_path
-from tallyfold.sources.curated import ingest, read_table, write_table
+from tallyfold.session import scratch_path, stage
+from tallyfold.sources.curated import ingest, read_bucketed, read_table, write_bucketed, write_table
 from workload.inputs import (
     AS_OF,
     FLOOR,
@@ -317,6 +318,32 @@ def billing_fact(spark, sf):
     )
 
 
+@query
+def bucketed_fact(spark, sf):
+    """The billing fact from headers and items stored in buckets of the document."""
+    root, run = scratch_path(spark, "buckets"), uuid.uuid4().hex
+    given = {"headers": headers(spark, sf), "items": lines(spark, sf)}
+    stored = {
+        name: read_bucketed(spark, write_bucketed(df, root, f"{name}_{run}", "billing_document", 16))
+        for name, df in given.items()
+    }
+    fact = facts.billing_fact(
+        stored["headers"],
+        stored["items"],
+        "billing_document",
+        group="customer_group",
+        group_codes=REPORTED_GROUPS,
+    )
+    return fact.select(
+        "billing_document",
+        "customer_code",
+        "billing_date",
+        "billing_item",
+        "material_code",
+        "billing_amount",
+    )
+
+
 @query
 def unique_dim(spark, sf):
     """Customers with the one latest bill of each."""
@@ -364,10 +391,12 @@ def group_totals(spark, sf):
         {
             "customer_total": F.sum("price"),
             "largest": F.max("price"),
-            "average": F.sum("price").cast("double") / F.count("price"),
+            "bills": F.count("price"),
             "open_bills": F.sum(C.flag_if(F.col("o_orderstatus") == "O")),
         },
     )
+    average = clean.ratio(F.col("customer_total"), F.col("bills"))
+    full = full.withColumn("average", average).drop("bills")
     months = groups.collect_months(bill, ["o_custkey"], "month", "months")
     with_months = joins.left_lookup(full, months, "o_custkey")
     return with_months.withColumn("months", dates.month_list(F.col("months")))
@@ -407,8 +436,9 @@ def cumulative_by_year(spark, sf):
     full = bills(spark, sf).withColumn("fiscal_year", dates.fiscal_year(F.col("billing_date")))
     totals = groups.group_sum(full, ["fiscal_year", "customer_code"], "billing_amount", "raw")
     coarse = totals.withColumn("total", F.floor(F.col("raw") / 1000)).drop("raw")
-    run = running.cumulative_sum(coarse, ["fiscal_year"], "total", "total", "cumulative")
-    return running.partition_total(run, ["fiscal_year"], "total", "year_total")
+    return running.cumulative_sum(
+        stage(coarse, "year_totals"), ["fiscal_year"], "total", "total", "cumulative", total="year_total"
+    )
 
 
 @query
@@ -426,9 +456,7 @@ def running_sum_rows(spark, sf):
 @query
 def pareto_brand_fy(spark, sf):
     full = bills(spark, sf).withColumn("fiscal_year", dates.fiscal_year(F.col("billing_date")))
-    return pareto.pareto(
-        full, "product_brand", "billing_amount", "fiscal_year", few_groups=True
-    )
+    return pareto.pareto(full, "product_brand", "billing_amount", "fiscal_year")
 
 
 @query
@@ -470,10 +498,10 @@ def window_join(spark, sf):
     anchors = daily.select(
         "customer_code", F.date_sub(day, 45).alias("first"), day.alias("last")
     )
-    joined = joins.period_join(anchors, daily, ["customer_code"], "billing_date", "first", "last")
-    return joined.groupBy("customer_code", "last").agg(
-        F.sum("amount").alias("amount"), F.count("*").alias("days")
+    summed = periods.window_sums(
+        anchors, daily, ["customer_code"], "billing_date", "first", "last", {"amount": "amount"}, "days"
     )
+    return summed.drop("first")
 
 
 def measure(spark, sf, keys, *names, **options):
