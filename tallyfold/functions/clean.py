@@ -97,25 +97,17 @@ def clean_decimal(
     other mark. Text that is no number becomes `default` (``None`` keeps it null). A number
     that `target` can't hold is an error, in ANSI mode and outside it.
     """
-    wide = "decimal(38," + target.rstrip(")").split(",")[1].strip() + ")"
     text = F.trim(c.cast("string"))
-    bare = F.regexp_replace(text, NUMBER_MARKS, "")
-    marked = bare.try_cast(wide)
-    if keep_sign:
-        marked = F.when(text.rlike(r"^-|-$"), -marked).otherwise(marked).cast(wide)
-    # Plain numbers need no pattern; coalesce stops at the first that parses.
+    # Plain numbers need no pattern; coalesce stops at the first that parses. Few branches
+    # matter: they are compiled once per column, and Java leaves large methods slow.
     plain = F.replace(text, F.lit(","), F.lit(""))
     if not keep_sign:
         plain = F.replace(plain, F.lit("-"), F.lit(""))
+    bare = F.regexp_replace(text, NUMBER_MARKS, "")
+    signed = F.concat(F.when(text.rlike(r"^-|-$"), "-").otherwise(""), bare) if keep_sign else bare
     too_large = F.raise_error(F.concat(F.lit(f"number beyond {target}: "), text)).cast(target)
     is_number = F.abs(bare.try_cast("double")) < float("inf")
-    wider = plain.try_cast(wide) if wide == target else F.coalesce(plain.try_cast(wide), marked)
-    tries = [plain.try_cast(target)]
-    if wide == target:
-        tries.append(marked)
-    else:
-        tries += [marked.try_cast(target), F.when(wider.isNotNull(), too_large)]
-    tries.append(F.when(is_number, too_large))
+    tries = [plain.try_cast(target), signed.try_cast(target), F.when(is_number, too_large)]
     if default is not None:
         tries.append(F.lit(default).cast(target))
     return F.coalesce(*tries)
