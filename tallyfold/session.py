@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator, Mapping
+from collections.abc import Collection, Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
@@ -52,7 +52,43 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     For results with several consumers: each one then scans only the columns it
     needs, and a lost executor costs a re-read instead of the whole lineage.
     """
-    path = scratch_path(df.sparkSession, name)
+    return _written(df, scratch_path(df.sparkSession, name))
+
+
+def remove_path(spark: SparkSession, path: str, keep: Collection[str] = ()) -> list[str]:
+    """Delete a folder of whatever store Spark reaches; with `keep` only its other children.
+
+    Returns the paths that were deleted.
+    """
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    gone = [folder]
+    if keep:
+        gone = [x.getPath() for x in files.listStatus(folder) if x.getPath().getName() not in keep]
+    return [x.toString() for x in gone if files.delete(x, True)]
+
+
+class Staged:
+    """Stages tables and deletes them together once their readers are done."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        self.paths.append(path)
+        return _written(df, path)
+
+    def release(self) -> None:
+        for path in self.paths:
+            remove_path(self.spark, path)
+        self.paths.clear()
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -341,6 +341,12 @@ def build() -> dict[str, str]:
 WITH {SOLD.split("),\nmats AS")[0].replace("SELECT *, " + o.NET, ONCE + o.NET)})
 SELECT customer_group, count(plus) AS n, {o.dbl("sum(billing_amount)")} AS amount
 FROM sold GROUP BY customer_group""",
+        "incremental_daily_sales": f"""
+WITH {SOLD.split("),\nmats AS")[0]})
+SELECT customer_group, strftime(billing_date, '%Y-%m') AS month, {o.dbl("sum(billing_amount)")} AS amount,
+       {o.dbl("sum(qty_in_kg)")} AS kg, count(billing_amount) AS lines,
+       count(*) FILTER (billing_type IN ('ZREM', 'RE')) AS return_lines
+FROM sold GROUP BY ALL""",
         "customer_master": customer_master(),
         "customer_budget_report": customer_budget(),
         "sales_register": sales_register(),

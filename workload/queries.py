@@ -18,6 +18,7 @@ from tallyfold.operators import facts, groups, joins, pareto, periods, recency,
 from tallyfold.plans import billing, masters, register, reports
 from tallyfold.session import scratch_path, stage
 from tallyfold.sources.curated import ingest, read_bucketed, read_table, write_bucketed, write_table
+from tallyfold.sources.versions import publish, read_version
 from workload.inputs import (
     AS_OF,
     FLOOR,
@@ -751,6 +752,39 @@ def roundtrip_parquet(spark, sf):
     )
 
 
+@query
+def versioned_bills(spark, sf):
+    """Bill headers in two versions, the second of which writes the months that differ; both read."""
+    root, month = scratch_path(spark, "versions"), F.date_format("billing_date", "yyyy-MM")
+    all_bills = headers(spark, sf)
+    late = F.col("billing_date") >= F.lit(FLOOR)
+    first = publish(all_bills.where(~late | (F.col("customer_group") != "DL")), root, "bills", month)
+    second = publish(all_bills, root, "bills", month)
+    both = [
+        read_version(spark, root, "bills", version=v).select(F.lit(v.number).alias("version"), "billing_date")
+        for v in (first, second)
+    ]
+    return both[0].union(both[1]).groupBy("version", month.alias("month")).agg(F.count("*").alias("bills"))
+
+
+@query
+def incremental_daily_sales(spark, sf):
+    """Sales per group and month from daily sums that were kept up to date: first some lines
+    were missing, then those months alone were summed again."""
+    store = scratch_path(spark, "store")
+    given = extracts(spark, sf)
+    lines = billing.billing_lines(given["VBRK"], given["VBRP"])
+    known = ~((F.col("billing_date") >= F.lit(FLOOR)) & (F.col("customer_group") == "MT"))
+    reports.refresh_daily(lines.where(known), store)
+    daily = read_version(spark, store, reports.DAILY, version=reports.refresh_daily(lines, store).version)
+    return daily.groupBy("customer_group", F.date_format("billing_date", "yyyy-MM").alias("month")).agg(
+        clean.exact_sum(daily, "billing_amount").alias("amount"),
+        clean.exact_sum(daily, "qty_in_kg").alias("kg"),
+        F.sum("lines").alias("lines"),
+        F.sum("damage_doc_count").alias("return_lines"),
+    )
+
+
 @query
 def ingest_delimited(spark, sf):
     """Customers as a padded delimited extract, ingested into a curated table."""
