@@ -21,12 +21,13 @@ read. Texts of any length are read whole, in parts of about 1 MiB cut where piec
 from __future__ import annotations
 
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -39,7 +40,7 @@ HEAD, SIDE, DENSE = 1 << 17, 10, 1 << 14
 #: log2 of the bits that mark frequent units.
 BITMAP = 26
 #: Bytes split at once, words counted and pairs held before they are emitted.
-AT_ONCE, WORDS_HELD, PAIRS_HELD = 1 << 20, 300_000, 2 << 20
+AT_ONCE, WORDS_HELD, PAIRS_HELD = 1 << 20, 100_000, 1 << 20
 #: Codes from here on are hashes of units without a number.
 TAIL = 1 << 62
 
@@ -63,22 +64,27 @@ def _parts(text: bytes) -> Iterator[bytes]:
     yield text[low:]
 
 
-def words_of(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
+def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
     """Words by language in bounded lists, BREAK between pieces and between texts."""
-    texts: dict[str, list[bytes]] = defaultdict(list)
-    for lang, text in zip(batch.column(0).to_pylist(), pc.cast(batch.column(1), pa.binary()).to_pylist()):
-        texts[lang].append(text)
-    for lang, some in texts.items():
-        held, size = [], 0
-        for text in some:
-            for part in _parts(text.translate(_CODES)):
-                held.append(part)
-                size += len(part)
-                if size >= AT_ONCE:
-                    yield lang, BREAK.join(held).replace(BREAK, b" \xff ").split()
-                    held, size = [], 0
-        if held:
-            yield lang, BREAK.join(held).replace(BREAK, b" \xff ").split()
+    held: dict[str, list[bytes]] = defaultdict(list)
+    sizes: Counter = Counter()
+
+    def taken(lang: str) -> tuple[str, list[bytes]]:
+        del sizes[lang]
+        return lang, BREAK.join(held.pop(lang)).replace(BREAK, b" \xff ").split()
+
+    for batch in batches:
+        for lang, text in zip(batch.column(0), pc.cast(batch.column(1), pa.binary())):
+            lang = lang.as_py()
+            for part in _parts(text.as_py().translate(_CODES)):
+                held[lang].append(part)
+                sizes[lang] += len(part)
+                if sizes[lang] >= AT_ONCE:
+                    yield taken(lang)
+        while sizes.total() >= 4 * AT_ONCE:  # of many languages
+            yield taken(max(sizes, key=sizes.get))
+    for lang in list(held):
+        yield taken(lang)
 
 
 def _read(docs: DataFrame, text: str, lang: str) -> DataFrame:
@@ -101,11 +107,10 @@ def count_words(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), words, n], ["lang", "word", "n"])
             counts.clear()
 
-        for batch in batches:
-            for lang, words in words_of(batch):
-                counts[lang].update(words)
-                if sum(map(len, counts.values())) >= WORDS_HELD:
-                    yield from flush()
+        for lang, words in words_of(batches):
+            counts[lang].update(words)
+            if sum(map(len, counts.values())) >= WORDS_HELD:
+                yield from flush()
         yield from flush()
 
     parts = docs.mapInArrow(run, "lang string, word string, n long")
@@ -173,7 +178,8 @@ def units_of(frequent: DataFrame, head: int) -> Units:
 class WordCodes(dict):
     """Codes of one language's numbered words; others are hashed and looked up."""
 
-    def __init__(self, lang: str, units: Units):
+    def __init__(self, lang: str, units: Units, words: bytes = b"", numbers: Sequence[int] = ()):
+        super().__init__(zip(words.split(), map(int, numbers)))
         self.lang, self.units = lang.encode(), units
         self[BREAK] = -1
 
@@ -212,21 +218,17 @@ def tiled(u: np.ndarray, w: np.ndarray, head: int, side: int, dense: int) -> Ite
         yield a[starts], b[starts], np.diff(np.r_[starts, len(a)])
 
 
-def count_phrases(docs: DataFrame, words: list, levels: list, size: int, head: int, side: int, dense: int) -> DataFrame:
-    """u, w, n: phrases of ``size`` words by the ids of their first part and last word.
+def count_phrases(docs: DataFrame, words: Broadcast, levels: list[Broadcast], head: int, side: int, dense: int) -> DataFrame:
+    """u, w, n: phrases of one word more than ``levels`` by the ids of their first part and last word.
 
-    ``words`` is (lang, word) of the numbered words in order, ``levels`` the units of
-    1, 2, .. size - 1 words.
+    ``words`` has the numbered words of each language and their numbers, ``levels`` the units
+    of 1, 2, .. words.
     """
-    sent = docs.sparkSession.sparkContext.broadcast((words, levels))
+    size = len(levels) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbered, units = sent.value
+        units = [x.value for x in levels]
         tables: dict[str, WordCodes] = {}
-        for k, (lang, word) in enumerate(numbered):
-            if lang not in tables:
-                tables[lang] = WordCodes(lang, units[0])
-            tables[lang][word.encode()] = k
         held: list[tuple[np.ndarray, np.ndarray]] = []
         n_held = 0
 
@@ -238,22 +240,22 @@ def count_phrases(docs: DataFrame, words: list, levels: list, size: int, head: i
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["u", "w", "n"])
                 held.clear()
 
-        for batch in batches:
-            for lang, some in words_of(batch):
-                table = tables.setdefault(lang, WordCodes(lang, units[0]))
-                w = np.fromiter(map(table.__getitem__, some), np.int64, len(some))
-                u = w
-                for k in range(1, size - 1):  # u: phrases of k words, then of k + 1
-                    at = np.flatnonzero((u[:-1] >= 0) & (u[1:] >= 0))
-                    longer = np.full(max(len(u) - 1, 0), -1, np.int64)
-                    longer[at] = units[k].codes(phrase_ids(units[k - 1].ids(u[at]), units[0].ids(w[at + k])))
-                    u = longer
+        for lang, some in words_of(batches):
+            if lang not in tables:
+                tables[lang] = WordCodes(lang, units[0], *words.value.get(lang, (b"", [])))
+            w = np.fromiter(map(tables[lang].__getitem__, some), np.int64, len(some))
+            u = w
+            for k in range(1, size - 1):  # u: phrases of k words, then of k + 1
                 at = np.flatnonzero((u[:-1] >= 0) & (u[1:] >= 0))
-                held.append((u[at], w[at + size - 1]))
-                n_held += len(at)
-                if n_held >= PAIRS_HELD:
-                    yield from flush()
-                    n_held = 0
+                longer = np.full(max(len(u) - 1, 0), -1, np.int64)
+                longer[at] = units[k].codes(phrase_ids(units[k - 1].ids(u[at]), units[0].ids(w[at + k])))
+                u = longer
+            at = np.flatnonzero((u[:-1] >= 0) & (u[1:] >= 0))
+            held.append((u[at], w[at + size - 1]))
+            n_held += len(at)
+            if n_held >= PAIRS_HELD:
+                yield from flush()
+                n_held = 0
         yield from flush()
 
     pairs = docs.mapInArrow(run, "u long, w long, n long")
@@ -288,14 +290,18 @@ def phrases(
     read = _read(docs, text, lang)
     counted = stage(count_words(read).where((F.col("n") >= least) | F.col("word").isNull()), "words")
     words = stage(_with_ids(counted.where("word IS NOT NULL"), True), "units")
-    units = units_of(words, head)
-    top = words.orderBy(F.col("n").desc(), "id").limit(head).select("lang", "word").collect()
-    numbered, levels = [(r.lang, r.word) for r in top], [units]
+    send = docs.sparkSession.sparkContext.broadcast
+    numbered: dict[str, tuple[list, list]] = defaultdict(lambda: ([], []))
+    for k, r in enumerate(words.orderBy(F.col("n").desc(), "id").limit(head).select("lang", "word").collect()):
+        numbered[r.lang][0].append(r.word.encode())
+        numbered[r.lang][1].append(k)
+    spellings = send({x: (b" ".join(own), np.array(at, np.int32)) for x, (own, at) in numbered.items()})
+    levels = [send(units_of(words, head))]
     word = words.select(F.col("id").alias("w"), F.col("word").alias("last"))
     named = words.select("id", "lang", F.col("word").alias("phrase"), "n")
     out = named.select("lang", "phrase", F.lit(1).alias("size"), F.col("n").alias("f"))
     for size in range(2, longest + 1):
-        some = count_phrases(read, numbered, levels, size, head, side, dense).where(F.col("n") >= least)
+        some = count_phrases(read, spellings, levels, head, side, dense).where(F.col("n") >= least)
         frequent = stage(_with_ids(some, False), f"phrases{size}")
         first = named.select(F.col("id").alias("u"), "lang", "phrase")
         named = frequent.join(first, "u").join(word, "w")
@@ -303,7 +309,9 @@ def phrases(
         named = stage(named, f"named{size}")
         out = out.unionByName(named.select("lang", "phrase", F.lit(size).alias("size"), F.col("n").alias("f")))
         if size < longest:
-            levels.append(units_of(frequent, head))
+            levels.append(send(units_of(frequent, head)))
+    for x in (spellings, *levels):
+        x.unpersist()
     return out, counted.where("word IS NULL").select("lang", "n")
 
 
