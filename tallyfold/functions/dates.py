@@ -29,6 +29,11 @@ def month_index(d: Column) -> Column:
     return F.year(d) * 12 + F.month(d)
 
 
+def month_of_index(n: Column) -> Column:
+    """First day of the month of that `month_index`."""
+    return F.make_date(F.floor((n - 1) / 12).cast("int"), F.pmod(n - 1, F.lit(12)) + 1, F.lit(1))
+
+
 def fiscal_year(d: Column, start_month: int = FISCAL_START_MONTH) -> Column:
     """The calendar year in which the date's fiscal year begins."""
     return F.year(d) + (F.month(d) >= start_month).cast("int") - 1

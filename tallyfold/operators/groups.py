@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyfold.functions.clean import exact_sum, quoted
+from tallyfold.functions.dates import month_index, month_of_index
 from tallyfold.operators.joins import left_join_on
 from tallyfold.session import stage
 
 #: A key is hot from this share of the rows on, in a sample of so many.
 HOT_SHARE, HOT_SAMPLE = 0.01, 20_000
+#: Months that share one bigint.
+BLOCK = 60
 
 
 def group_sum(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
@@ -76,14 +79,41 @@ def row_count(df: DataFrame) -> int:
     return df.count()
 
 
+def month_block(month: Column) -> Column:
+    """Number of the five years that a date lies in."""
+    return F.floor(month_index(month) / BLOCK).cast("int")
+
+
+def month_bit(month: Column) -> Column:
+    """A bigint with the date's month as one of the bits of its block."""
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(month_index(month), F.lit(BLOCK)))
+
+
+def months_of_blocks(blocks: Column) -> Column:
+    """Sorted month starts of an array of (block, bits)."""
+
+    def months(b: Column) -> Column:
+        set_ = F.filter(
+            F.sequence(F.lit(0), F.lit(BLOCK - 1)),
+            lambda i: F.call_function("getbit", b["bits"], i) == 1,
+        )
+        return F.transform(set_, lambda i: month_of_index(b["block"] * BLOCK + i))
+
+    return F.flatten(F.transform(F.sort_array(blocks), months))
+
+
 def collect_months(df: DataFrame, keys: Sequence[str], month: str, out: str) -> DataFrame:
     """Sorted set of months per key.
 
-    Distinct (key, month) rows come first, so the array is built from one row per
-    month however many bills a key has.
+    Months are bits of a bigint for each five years, combined before the shuffle, so a key
+    sends a few numbers however many bills and months it has.
     """
-    pairs = df.select(*keys, month).distinct()
-    return pairs.groupBy(*keys).agg(F.array_sort(F.collect_set(month)).alias(out))
+    date = quoted(month)
+    bits = df.groupBy(*[quoted(k) for k in keys], month_block(date).alias("__block")).agg(
+        F.bit_or(month_bit(date)).alias("__bits")
+    )
+    block = F.when(F.col("__block").isNotNull(), F.struct(F.col("__block").alias("block"), F.col("__bits").alias("bits")))
+    return bits.groupBy(*[quoted(k) for k in keys]).agg(months_of_blocks(F.collect_list(block)).alias(out))
 
 
 def contribution(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:

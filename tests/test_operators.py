@@ -234,6 +234,33 @@ def test_unbilled_months(spark):
         recency.unbilled_months(df, "billed", AS_OF, fully_billed="x")
 
 
+def test_months_over_many_years(spark):
+    rng = random.Random(9)
+    data = [(rng.choice(["a", "b", None]), rng.choice([None, dt.date(rng.randrange(1890, 2110), rng.randrange(1, 13), 7)]))
+            for _ in range(500)] + [("none", None)]
+    df = spark.createDataFrame(data, "k string, d date").repartition(3)
+    want = {k: sorted({d.replace(day=1) for x, d in data if x == k and d}) for k, _ in data}
+    got = {r.k: r.m for r in groups.collect_months(df, ["k"], "d", "m").collect()}
+    assert got == want
+    recent = {r.k: r.billed_months for r in recency.recency(df, "k", "d", AS_OF).collect()}
+    assert recent == want
+
+
+@pytest.mark.parametrize("as_of", [dt.date(2024, 4, 1), AS_OF, dt.date(2025, 3, 31)])
+def test_unbilled_months_from_bits(spark, as_of):
+    """Bits give what arrays give."""
+    everyone = spark.createDataFrame([("all",), ("some",), ("old",), ("never",), ("late",)], "c string")
+    more = BILLS + [("late", dt.date(2025, 2, 3), "DL"), ("late", None, "DL"), ("late", dt.date(2025, 4, 3), "DL")]
+    bills = spark.createDataFrame(more, "c string, d date, g string").withColumn("m", F.trunc("d", "month"))
+    by_array = joins.left_lookup(everyone, groups.collect_months(bills, ["c"], "m", "billed"), "c")
+    by_bits = joins.left_lookup(everyone, recency.fiscal_bits(bills, ["c"], "d", as_of, "billed"), "c")
+    assert dict(by_bits.dtypes)["billed"] == "bigint"
+    for rule in ("none", "all"):
+        a, b = (rows(recency.unbilled_months(x, "billed", as_of, fully_billed=rule), "c", "unbilled_months")
+                for x in (by_array, by_bits))
+        assert a == b
+
+
 @pytest.mark.parametrize("months,last", [(12, dt.date(2025, 3, 1)), (13, dt.date(2025, 4, 1))])
 def test_budget_calendar(spark, months, last):
     got = B.budget_calendar(spark.createDataFrame([("a",)], "x string"), AS_OF, months).collect()

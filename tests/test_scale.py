@@ -136,3 +136,9 @@ def test_no_window_sorts_a_whole_group(spark, small_slices, name):
     assert "__slice" in window.split("], [")[1]
     got, want, extra, missing = compare(df, connect(SF), ORACLES[name])
     assert (got, extra, missing) == (want, [], [])
+
+
+@pytest.mark.parametrize("name", ["customer_recency", "unbilled_months", "unbilled_months_all", "group_totals"])
+def test_months_travel_as_bits(spark, name):
+    text = plan(REGISTRY[name](spark, SF))
+    assert "collect_set" not in text and "bit_or" in text

@@ -7,9 +7,10 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.fixed_values import MATERIAL_NAMES, SALES_FORCE_NAMES
+from tallyfold.fixed_values import CREDIT_TYPES, MATERIAL_NAMES, REPORTED_GROUPS, SALES_FORCE_NAMES
 from tallyfold.functions.clean import MONEY
 from tallyfold.functions.dates import between_dates
+from tallyfold.sources.delimited import clean_extract
 
 AS_OF = dt.date(2001, 7, 15)
 FLOOR = dt.date(1999, 4, 1)
@@ -254,3 +255,58 @@ def extracts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
             text(decimal("p_retailprice")).alias("budget"),
         ),
     }
+
+
+# The same extracts as they come in practice: padded codes, grouped digits, signs at either
+# end, every customer group and document type.
+
+GROUPS = [*REPORTED_GROUPS, "OT", "XX"]
+DOC_TYPES = [*CREDIT_TYPES, "ZF2", "ZF2", "ZF2"]
+PADDED = {"VBRK": ["VBELN", "KUNAG"], "VBRP": ["VBELN", "MATNR"]}
+
+
+def _picked(c: Column, values: list[str]) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (c % len(values) + 1).cast("int"))
+
+
+def _printed(number: Column, minus: Column, leading: bool = False) -> Column:
+    """Digits in groups of three; a minus before or behind them."""
+    digits, sign = F.format_number(number, 2), F.when(minus, "-").otherwise("")
+    return F.concat(sign, digits) if leading else F.concat(digits, sign)
+
+
+def dirty_extracts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    orders, lineitem = table(spark, sf, "orders"), table(spark, sf, "lineitem")
+    net, quantity = net_value(), decimal("l_quantity")
+    credit, back = F.col("l_linenumber") % 6 == 5, F.col("l_linenumber") % 5 == 2
+    given = extracts(spark, sf)
+    vbrk = orders.select(
+        text("o_orderkey").alias("VBELN"),
+        F.date_format("o_orderdate", "yyyyMMdd").alias("FKDAT"),
+        _picked(F.col("o_orderkey"), DOC_TYPES).alias("FKART"),
+        _picked(F.col("o_custkey"), GROUPS).alias("KDGRP"),
+        text("o_custkey").alias("KUNAG"),
+        F.concat(F.lit("INV"), text("o_orderkey")).alias("XBLNR"),
+    )
+    vbrp = lineitem.select(
+        F.concat(F.lit("PC"), text("l_linenumber")).alias("PRCTR"),
+        text("l_suppkey").alias("WERKS"),
+        F.when(F.col("l_linestatus") == "O", "TAN").otherwise("REN").alias("PSTYV"),
+        F.lit("1000").alias("VKORG_AUFT"),
+        _printed(tax_amount(net), credit).alias("MWSBP"),
+        text("l_orderkey").alias("VBELN"),
+        text("l_linenumber").alias("POSNR"),
+        text("l_partkey").alias("MATNR"),
+        F.concat(F.lit("Item "), F.col("l_returnflag")).alias("ARKTX"),
+        text(quantity).alias("FKIMG"),
+        F.lit("CV").alias("VRKME"),
+        _printed((quantity * F.lit(37)).cast(MONEY), back).alias("FKLMG"),
+        _printed(net, credit).alias("NETWR"),
+        _printed((quantity * F.lit(25)).cast(MONEY), back, leading=True).alias("NTGEW"),
+    )
+    texts = [(g, f"Group {g}") for g in GROUPS]
+    dirty = {"VBRK": vbrk, "VBRP": vbrp}
+    for name, codes in PADDED.items():
+        padded = {c: F.concat(F.lit("  "), F.lpad(c, 18, "0"), F.lit(" ")) for c in codes}
+        dirty[name] = clean_extract(dirty[name].withColumns(padded), codes)
+    return given | dirty | {"T151T": spark.createDataFrame(texts, "KDGRP string, KTEXT string")}

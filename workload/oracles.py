@@ -752,14 +752,14 @@ FROM headers"""
 
 ORACLES["versioned_bills"] = f"""
 WITH {LINES},
-both AS (
+seen AS (
   SELECT 1 AS version, billing_date FROM headers
   WHERE billing_date < DATE '{FLOOR}' OR customer_group <> 'DL'
   UNION ALL
   SELECT 2, billing_date FROM headers
 )
 SELECT CAST(version AS BIGINT) AS version, strftime(billing_date, '%Y-%m') AS month, count(*) AS bills
-FROM both GROUP BY ALL"""
+FROM seen GROUP BY ALL"""
 
 ORACLES["ingest_delimited"] = """
 SELECT CASE WHEN c_custkey = 0 THEN '' ELSE CAST(c_custkey AS VARCHAR) END AS "KUNNR",

@@ -12,7 +12,7 @@ from tallyfold.fixed_values import (
     STATES,
 )
 from workload import oracles as o
-from workload.inputs import AS_OF, BUDGET_SEGMENTS, FLOOR, GROUP_OF_PRIORITY
+from workload.inputs import AS_OF, BUDGET_SEGMENTS, DOC_TYPES, FLOOR, GROUP_OF_PRIORITY, GROUPS
 
 # One of each set of equal lines.
 ONCE = "SELECT DISTINCT l_orderkey, l_linenumber, l_suppkey, l_partkey, l_linestatus, l_returnflag, l_quantity, l_tax, "
@@ -188,6 +188,31 @@ SELECT customer_code, segment, budget AS "Monthly Budget", {o.BUDGET_DATES},
 FROM j"""
 
 
+def dirty(sql: str, keep_sign: bool) -> str:
+    """A report on the extracts as they come in practice (`dirty_extracts`)."""
+    group = f"([{o.codes(GROUPS)}])[o_custkey % {len(GROUPS)} + 1]"
+    back = "CASE WHEN l_linenumber % 5 = 2 THEN -1 ELSE 1 END *" if keep_sign else ""
+    swaps = {
+        f"{o.case('o_orderpriority', GROUP_OF_PRIORITY)} AS customer_group": f"{group} AS customer_group",
+        "'Group ' || o_orderpriority": f"'Group ' || {group}",
+        "CASE WHEN o_orderstatus <> 'P' THEN 'ZF2' WHEN o_orderpriority = '1-URGENT' THEN 'ZDR1'\n"
+        "              ELSE 'ZREM' END": f"([{o.codes(DOC_TYPES)}])[o_orderkey % {len(DOC_TYPES)} + 1]",
+        f"CAST(gross AS {o.MONEY}) AS plus": f"CAST(CASE WHEN l_linenumber % 6 = 5 THEN -gross ELSE gross END "
+        f"AS {o.MONEY}) AS plus",
+        f"CAST(l_quantity AS {o.MONEY}) AS billed_quantity": f"CAST({back} l_quantity * 37 AS {o.MONEY}) AS billed_quantity",
+        f"CAST(l_quantity * 25 AS {o.MONEY}) AS qty_in_kg": f"CAST({back} l_quantity * 25 AS {o.MONEY}) AS qty_in_kg",
+        # Leading zeros go, also from a code of nothing else.
+        "CAST(o_custkey AS VARCHAR) AS customer_code, CAST(l_partkey AS VARCHAR) AS material_code":
+        "ltrim(CAST(o_custkey AS VARCHAR), '0') AS customer_code, ltrim(CAST(l_partkey AS VARCHAR), '0') AS material_code",
+        "billing_type = 'ZREM'": "billing_type IN ('ZREM', 'RE')",
+    }
+    for clean, spoiled in swaps.items():
+        if clean not in sql:
+            raise ValueError(f"the clean report does not say {clean}")
+        sql = sql.replace(clean, spoiled)
+    return sql
+
+
 def spanning_windows() -> dict[str, tuple[str, str]]:
     """Windows that end on the current day, and year totals by fiscal-year label."""
     label = f"OVER (PARTITION BY {', '.join(REGISTER_KEYS)}, {o.fy('m')})"
@@ -351,5 +376,7 @@ FROM sold GROUP BY ALL""",
         "customer_budget_report": customer_budget(),
         "sales_register": sales_register(),
         "sales_register_spanning": sales_register(spanning_windows()),
+        "sales_register_dirty": dirty(sales_register(), keep_sign=True),
+        "sales_register_dirty_unsigned": dirty(sales_register(), keep_sign=False),
         "customer_master_all": customer_master(o.EVERY_MONTH),
     }

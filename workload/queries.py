@@ -24,6 +24,7 @@ from workload.inputs import (
     FLOOR,
     bills,
     decimal,
+    dirty_extracts,
     extracts,
     headers,
     lines,
@@ -617,12 +618,7 @@ def customer_recency(spark, sf):
 
 def missed(spark, sf, rule):
     customer = table(spark, sf, "customer").select(F.col("c_custkey").alias("customer_code"))
-    billed = groups.collect_months(
-        headers(spark, sf).withColumn("month", dates.month_start(F.col("billing_date"))),
-        ["customer_code"],
-        "month",
-        "billed",
-    )
+    billed = recency.fiscal_bits(headers(spark, sf), ["customer_code"], "billing_date", AS_OF, "billed")
     full = joins.left_lookup(customer, billed, "customer_code")
     return recency.unbilled_months(full, "billed", AS_OF, fully_billed=rule).drop("billed")
 
@@ -684,10 +680,10 @@ def group_text(spark, sf):
     return masters.customer_group_text(given["KNVV"], given["T151T"])
 
 
-def all_reports(spark, sf, **changed):
+def all_reports(spark, sf, given=extracts, **changed):
     contact = {"nsm_name_lit": "head office", "nsm_email_lit": "head@office.example"}
     options = reports.ReportOptions(as_of=AS_OF, floor=FLOOR, contact=contact, **changed)
-    return reports.Reports(spark, extracts(spark, sf), options)
+    return reports.Reports(spark, given(spark, sf), options)
 
 
 @query
@@ -723,6 +719,19 @@ def sales_register_spanning(spark, sf):
     ]
 
 
+@query
+def sales_register_dirty(spark, sf):
+    """The register from padded codes, grouped digits, signs at either end, and every
+    customer group and document type."""
+    return all_reports(spark, sf, dirty_extracts)["sales_register"]
+
+
+@query
+def sales_register_dirty_unsigned(spark, sf):
+    """The same with the signs of quantities and weights lost."""
+    return all_reports(spark, sf, dirty_extracts, keep_sign=False)["sales_register"]
+
+
 @query
 def customer_master_all(spark, sf):
     """Customers billed in every month are shown as if in none."""
