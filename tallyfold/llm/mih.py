@@ -14,16 +14,18 @@ Buckets are cut into blocks of bounded size on both sides, by counts over all ro
 bucket that many rows share spreads over many tasks, and each block gives at most the wanted
 number of neighbours per query. Queries that found too few are compared with every row.
 
-Defined cases: vectors that are null, zero, of another dimension than most, or hold null or
-non-finite components take no part, nor do rows without an id; rows with the query's own id
-are no candidates; equal distances go to smaller ids; an empty table gives an empty result.
+Defined cases: vectors that are null, zero, or hold null or non-finite components take no part,
+nor do rows without an id; vectors of each dimension are searched among themselves; rows with
+the query's own id are no candidates; rows that share an id, repeated or not, count as one, at
+the least distance between any of theirs and any of the query's; equal distances go to smaller
+ids; an empty table gives an empty result; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -115,11 +117,10 @@ def sound(table: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     )
 
 
-def fitted(rows: DataFrame) -> tuple[Codes, int]:
-    """Codes and dimension from a sample by hashed id: bounded, and the same on every run."""
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toArrow().column("vector").to_pylist()
-    size = Counter(map(len, sample)).most_common(1)[0][0] if sample else 1
-    return fit(np.array([x for x in sample if len(x) == size], np.float64).reshape(-1, size)), size
+def fitted(rows: DataFrame) -> Codes:
+    """Codes from a sample by hashed id: bounded, and the same on every run."""
+    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "vector").limit(SAMPLE).toArrow().column("vector").to_pylist()
+    return fit(np.array(sample, np.float64).reshape(len(sample), -1) if sample else np.empty((0, 1)))
 
 
 def _matrix(column) -> np.ndarray:
@@ -189,6 +190,7 @@ def search_within(queries: DataFrame, index: DataFrame, codes: Codes, radius: in
             return out.empty_table()
         part = key[0].as_py()
         ids, vectors = left["vec_id"].to_numpy(), _matrix(left["vector"])
+        repeated = len(np.unique(ids)) < len(ids)
         there = left["code"].to_numpy().view(np.uint64)
         found: list[list[np.ndarray]] = [[], [], []]
         query_ids, wanted = right["query_id"].to_numpy(), _matrix(right["wanted"])
@@ -201,7 +203,10 @@ def search_within(queries: DataFrame, index: DataFrame, codes: Codes, radius: in
             at = np.flatnonzero(take)
             if len(at):
                 score = np.sqrt(((vectors[at] - vector) ** 2).sum(axis=1))
-                best = np.lexsort((ids[at], score))[:nearest]
+                best = np.lexsort((ids[at], score))
+                if repeated:  # of rows that share an id, the nearest counts
+                    best = best[np.sort(np.unique(ids[at][best], return_index=True)[1])]
+                best = best[:nearest]
                 for to, x in zip(found, (np.full(len(best), one), ids[at][best], score[best])):
                     to.append(x)
         columns = [np.concatenate(x) if x else np.empty(0) for x in found]
@@ -214,6 +219,8 @@ def search_within(queries: DataFrame, index: DataFrame, codes: Codes, radius: in
 
 
 def _ranked(found: DataFrame, nearest: int) -> DataFrame:
+    """The nearest of each query id; rows that share an id count as one, at their least distance."""
+    found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= nearest)
 
@@ -227,8 +234,18 @@ def nearest_neighbours(
     coded rows and the first results to the shared folder.
     """
     rows = sound(table, vec_id, embedding)
-    codes, size = fitted(rows)
-    index = stage(coded(rows.where(F.size("vector") == size), codes), "codes")
+    sizes = [r["size"] for r in rows.where(is_query).select(F.size("vector").alias("size")).distinct().collect()]
+    found = [_nearest(rows.where(F.size("vector") == n), is_query, nearest) for n in sorted(sizes) or [0]]
+    if len(found) == 1:
+        return found[0]
+    every = reduce(DataFrame.unionByName, found).drop("rank")
+    return _ranked(every, nearest).select("query_id", "rank", "vec_id", "score")
+
+
+def _nearest(rows: DataFrame, is_query, nearest: int) -> DataFrame:
+    """The search among vectors of one dimension."""
+    codes = fitted(rows)
+    index = stage(coded(rows, codes), "codes")
     queries = index.where(is_query)
     first = stage(_ranked(search_within(queries, index, codes, codes.radius, nearest), nearest), "nearest")
     done = first.where(F.col("rank") == nearest).select(F.col("query_id").alias("vec_id"))

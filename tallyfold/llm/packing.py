@@ -28,6 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyfold.llm import caches
 from tallyfold.session import stage
 
 LENGTH = 4096
@@ -82,6 +83,9 @@ def chunks_for(path: str) -> Chunks:
     return Chunks(path)
 
 
+caches.hold(__name__, chunks_for.cache_clear)
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
 

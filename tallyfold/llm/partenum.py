@@ -18,11 +18,12 @@ passages that many documents hold come last and do not bring their documents tog
 
 Links. In a group of sets that share a signature, all are compared with one pivot; after some
 rounds with other pivots, only sets still in different components are paired. Copies and near
-copies cost a few comparisons each, never all pairs. A comparison first bounds the differences
-from below by sketches of fixed size, then intersects the sets. No link is lost.
+copies cost a few comparisons each, never all pairs. Where two sets meet, their sizes and the
+parities of 1,024 buckets bound the differences from below, within the join; then sketches of
+fixed size do, and at last the sets are intersected. No link is lost.
 
 What stays: sets that are not linked but share between about 2/3 and 6/7 of their shingles with
-many others still meet in pairs. Nothing is dropped for that.
+many others still have their parities compared in pairs. Nothing is dropped for that.
 
 Defined cases: null and empty texts have empty sets and link with nothing; with fewer than five
 words the whole sequence is the one shingle; rows that repeat an id and text link as copies;
@@ -37,11 +38,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tallyfold.llm import caches
 from tallyfold.llm.components import components
 from tallyfold.session import stage
 
@@ -56,8 +57,8 @@ BUCKETS = 128
 ROUNDS, FEW_PAIRS = 6, 1
 #: Stands for a null id where rows are told apart by id.
 FIRST_ID = -(2**63)
-#: Words a worker's cache of hashes holds.
-CACHED = 400_000
+#: Bits of a parity sketch.
+PARITY = 1024
 #: Signatures have 48 bits, the lowest five of them for the band; more only cost comparisons.
 BAND_BITS = 5
 
@@ -71,28 +72,52 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < CACHED:
-            self[word] = h
-        return h
+#: For each byte of a word, letters in either case alike, a random number; white space has none.
+_BYTES = _mix((np.arange(256, dtype=np.uint64) + np.uint64(1)) * _M1) | np.uint64(1)
+_BYTES[ord("A") : ord("Z") + 1] = _BYTES[ord("a") : ord("z") + 1]
+_BYTES[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20]] = 0
+
+
+def _weights(n: int) -> np.ndarray:
+    """For each place in a word a random odd number."""
+    return _mix((np.arange(n, dtype=np.uint64) + np.uint64(1000)) * _M2) | np.uint64(1)
+
+
+_PLACES = _weights(1 << 12)
 
 
-_words = WordHashes()
+def word_hashes(raw: bytes) -> np.ndarray:
+    """64-bit hashes of the words of a UTF-8 text, A-Z as a-z: sums of byte times place."""
+    numbers = _BYTES[np.frombuffer(raw, np.uint8)]
+    inside = np.zeros(len(raw) + 2, bool)
+    np.not_equal(numbers, 0, out=inside[1:-1])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    if not len(starts):
+        return np.empty(0, np.uint64)
+    longest = int(sizes.max())
+    weights = _PLACES if longest < len(_PLACES) else _weights(longest + 1)
+    # Places count from the word's start; white space behind it adds nothing, wherever it is.
+    place = np.ones(len(raw), np.int64)
+    place[0] = -int(starts[0])
+    place[starts[1:]] = 1 - np.diff(starts)
+    np.cumsum(place, out=place)
+    place[0 : int(starts[0])] = 0
+    np.minimum(place, longest, out=place)
+    return _mix(np.add.reduceat(numbers * weights[place], starts) + sizes.astype(np.uint64) * _M1)
 
 
 def shingle_set(raw: bytes) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct shingles of a UTF-8 text."""
-    words = raw.lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
-    size = min(WORDS, len(words))
+    h = word_hashes(raw)
+    if not len(h):
+        return h
+    size = min(WORDS, len(h))
     out = np.full(len(h) - size + 1, size, np.uint64)
     for k in range(size):
         out += h[k : len(h) - size + 1 + k] * _ODDS[k]
-    return np.unique(_mix(out))
+    out = np.sort(_mix(out))
+    return out[np.concatenate([[True], out[1:] != out[:-1]])]
 
 
 def set_id_of(shingles: np.ndarray) -> int:
@@ -157,6 +182,26 @@ def sketch_of(shingles: np.ndarray) -> bytes:
     return np.minimum(count, 255).astype(np.uint8).tobytes() + (total.astype(np.int64) % 256).astype(np.uint8).tobytes()
 
 
+def parity_of(shingles: np.ndarray) -> np.ndarray:
+    """For each bucket of the domain, whether its number of elements is odd, as bits of bigints.
+
+    Sets differ in at least as many elements as their sketches in bits.
+    """
+    odd = np.bincount((shingles >> np.uint64(20)).astype(np.int64) % PARITY, minlength=PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+PARITIES = [f"parity{k}" for k in range(PARITY // 64)]
+
+
+def _may_link() -> Column:
+    """Whether sets a and b can link by their sizes and parities, within a join."""
+    n_a, n_b = F.col("n_shingles_a"), F.col("n_shingles_b")
+    near = OF * F.least(n_a, n_b) >= AT_LEAST * F.greatest(n_a, n_b)
+    apart = sum(F.bit_count(F.col(f"{p}_a").bitwiseXOR(F.col(f"{p}_b"))) for p in PARITIES)
+    return near & ((OF + AT_LEAST) * apart <= (OF - AT_LEAST) * (n_a + n_b))
+
+
 def least_differences(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Differences that sets must have at least, row by row of their sketches."""
     count_a, count_b = a[:, :BUCKETS].astype(np.int64), b[:, :BUCKETS].astype(np.int64)
@@ -185,6 +230,7 @@ def sets_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     spare = pa.list_(pa.struct([("band", pa.int64()), ("spare", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        caches.keep_only(__name__)
         for batch in batches:
             rows = []
             for raw in batch.column(2):
@@ -205,6 +251,7 @@ def _signed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     schema = pa.schema([pa.field(n, pa.int64(), False) for n in ("sign", "set_id")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        caches.keep_only(__name__)
         for batch in batches:
             found: dict[int, np.ndarray] = {}
             size, done = 0, set()
@@ -220,7 +267,7 @@ def _signed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                     done.add(one)
                     found[one] = np.concatenate([own for _, _, own in signatures(s)])
                     size += len(found[one])
-                if size > 1_000_000:
+                if size > 300_000:
                     yield rows()
                     found, size = {}, 0
             yield rows()
@@ -236,10 +283,8 @@ def _paired(pairs: DataFrame, sets: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of set ids whose sets link: by sizes, then sketches, then elements."""
-    near = (OF * F.least("n_shingles_a", "n_shingles_b")) >= (AT_LEAST * F.greatest("n_shingles_a", "n_shingles_b"))
-    fit = _paired(pairs, sets, ["n_shingles"]).where(near).select("a", "b")
-    sketched = _paired(fit, sets, ["n_shingles", "sketch"])
+    """The pairs (a, b) of set ids whose sets link: by sketches, then elements."""
+    sketched = _paired(pairs, sets, ["n_shingles", "sketch"])
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -297,6 +342,8 @@ def link_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     chosen = groups.select("set_id").distinct().join(first, "set_id")
     sets = stage(_elements(docs, chosen, doc_id, text), "sets")
 
+    known = sets.select("set_id", "n_shingles", *PARITIES)
+
     nodes = groups.select(F.col("set_id").alias("node")).distinct()
     labels = stage(nodes.withColumn("label", F.col("node")), "labels")
     for turn in range(ROUNDS):
@@ -304,22 +351,29 @@ def link_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         mixed = labelled.groupBy("sign").agg(
             F.count("*").alias("n"), F.min("label").alias("l"), F.max("label").alias("h"), F.min(_turned(turn)).alias("key")
         )
-        mixed = stage(labelled.join(mixed.where("l < h").drop("l", "h"), "sign").withColumn("own", _turned(turn)), "mixed")
+        mixed = labelled.join(mixed.where("l < h").drop("l", "h"), "sign").withColumn("own", _turned(turn))
+        mixed = stage(mixed.join(known, "set_id"), "mixed")
         rows, pairs = mixed.agg(F.count("*"), F.sum(F.col("n") - 1) / 2).first()
         if not rows or (turn and pairs <= FEW_PAIRS * rows):
             break
-        pivots = mixed.where("own = key").select("sign", F.col("set_id").alias("a"), F.col("label").alias("la"))
-        star = mixed.join(pivots, "sign").where("label <> la").select("a", F.col("set_id").alias("b")).distinct()
+        star = _side(mixed.where("own = key"), "a").join(_side(mixed, "b"), "sign")
+        star = star.where((F.col("label_a") != F.col("label_b")) & _may_link()).select("a", "b").distinct()
         labels = _merged(labels, _linked(star, sets))
     labelled = groups.join(labels.withColumnRenamed("node", "set_id"), "set_id")
     mixed = labelled.groupBy("sign").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l < h")
-    mixed = stage(labelled.join(mixed.select("sign"), "sign", "left_semi"), "mixed")
-    left = mixed.select("sign", F.col("set_id").alias("a"), F.col("label").alias("la"))
-    right = mixed.select("sign", F.col("set_id").alias("b"), F.col("label").alias("lb"))
-    rest = left.join(right, "sign").where("a < b and la <> lb").select("a", "b").distinct()
+    mixed = stage(labelled.join(mixed.select("sign"), "sign", "left_semi").join(known, "set_id"), "mixed")
+    rest = _side(mixed, "a").join(_side(mixed, "b"), "sign")
+    rest = rest.where((F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & _may_link())
+    rest = rest.select("a", "b").distinct()
     return owners, _merged(labels, _linked(rest, sets))
 
 
+def _side(mixed: DataFrame, n: str) -> DataFrame:
+    """Members of groups as the side a or b of a pair."""
+    columns = [F.col(c).alias(f"{c}_{n}") for c in ("label", "n_shingles", *PARITIES)]
+    return mixed.select("sign", F.col("set_id").alias(n), *columns)
+
+
 def _turned(turn: int) -> Column:
     """An order of sets that differs from round to round, without ties."""
     return F.struct(F.xxhash64(F.lit(turn), "set_id"), "set_id")
@@ -349,11 +403,12 @@ def _elements(docs: DataFrame, chosen: DataFrame, doc_id: str, text: str) -> Dat
                     pa.array([len(s) for s in found], pa.int64()),
                     pa.array([sketch_of(s) for s in found], pa.binary()),
                     pa.array([s.tobytes() for s in found], pa.binary()),
+                    *(pa.array(p) for p in np.array([parity_of(s) for s in found], np.int64).reshape(-1, len(PARITIES)).T),
                 ],
-                names=["set_id", "n_shingles", "sketch", "shingles"],
+                names=["set_id", "n_shingles", "sketch", "shingles", *PARITIES],
             ).filter(pa.array(right, pa.bool_()))
 
-    ddl = "set_id long, n_shingles long, sketch binary, shingles binary"
+    ddl = ", ".join(["set_id long, n_shingles long, sketch binary, shingles binary", *[f"{p} long" for p in PARITIES]])
     return met.select("set_id", "raw").mapInArrow(run, ddl).dropDuplicates(["set_id"])
 
 

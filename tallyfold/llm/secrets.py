@@ -54,7 +54,7 @@ RULES = (
     Rule("pem", 1, r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----", needs=("-----begin",)),
 )
 BASE = 3
-SPAN = "struct<start:long,kind_no:int,stop:long,kind:string>"
+SPAN = "struct<start:long,kind_no:int,stop:long,kind:string,version:int>"
 LEDGER = f"blob_id binary, rules array<string>, spans array<{SPAN}>"
 
 
@@ -65,7 +65,9 @@ def spans_of(text: str, rules) -> list[dict]:
             continue
         for m in pattern.finditer(text):
             if m.end(rule.group) - m.start(rule.group) >= rule.least:
-                found.append({"start": m.start(), "kind_no": number, "stop": m.end(), "kind": rule.kind})
+                found.append(
+                    {"start": m.start(), "kind_no": number, "stop": m.end(), "kind": rule.kind, "version": rule.version}
+                )
     return found
 
 
@@ -104,7 +106,15 @@ def scan_unseen(paths: DataFrame, ledger: DataFrame | None = None, rules: tuple[
             (
                 "spans",
                 pa.list_(
-                    pa.struct([("start", pa.int64()), ("kind_no", pa.int32()), ("stop", pa.int64()), ("kind", pa.string())])
+                    pa.struct(
+                        [
+                            ("start", pa.int64()),
+                            ("kind_no", pa.int32()),
+                            ("stop", pa.int64()),
+                            ("kind", pa.string()),
+                            ("version", pa.int32()),
+                        ]
+                    )
                 ),
             ),
         ]
@@ -123,10 +133,24 @@ def scan_unseen(paths: DataFrame, ledger: DataFrame | None = None, rules: tuple[
     return texts.mapInArrow(scan, LEDGER).dropDuplicates(["blob_id"])
 
 
-def findings(paths: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Every path with all spans the ledger has for its text, by start, then kind."""
+def current_spans(spans: Column, rules: tuple[Rule, ...]) -> Column:
+    """The spans that these versions of the rules found, by start, then by the rules' order.
+
+    The number of a kind is its place among ``rules``, whatever it was when the blob was scanned.
+    """
+    places = F.create_map(*[x for k, r in enumerate(rules) for x in (F.lit(r.name), F.lit(k))])
+    name = lambda s: F.concat_ws(":", s["kind"], s["version"].cast("string"))
+    known = F.transform(spans, lambda s: s.withField("kind_no", places[name(s)]))
+    return F.sort_array(F.filter(known, lambda s: s["kind_no"].isNotNull()))
+
+
+def findings(paths: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Every path with the spans the ledger has for its text from the given rule versions.
+
+    What an older version of a rule found, or a rule that is no longer there, does not count.
+    """
     per_blob = ledger.where(F.size("spans") > 0).groupBy("blob_id").agg(
-        F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans")
+        current_spans(F.flatten(F.collect_list("spans")), rules).alias("spans")
     )
     none = F.array().cast(f"array<{SPAN}>")
     return (

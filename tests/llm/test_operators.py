@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyfold.llm import bpe, chunking, components, mih, packing, partenum, quality, registry, secrets, sharding
+from tallyfold.llm import bpe, caches, chunking, components, mih, packing, partenum, quality, registry, secrets, sharding
 from tallyfold.llm import suffixes, wordpiece
 from tests.compare import compare, connect
 
@@ -177,6 +177,37 @@ def test_secret_ledger_is_incremental(spark, docs):
     assert rows(both.select("doc_id", text)) == rows(whole.select("doc_id", text))
 
 
+def test_a_new_rule_version_replaces_old_findings(spark, docs, awkward):
+    """What an older version found is not given any more; kinds are numbered by the rules asked for."""
+    paths = secrets.addressed(docs)
+    old = secrets.scan_unseen(paths).cache()
+    none = secrets.Rule("access", 2, "nothing like it")
+    hex_first = (secrets.RULES[2], secrets.RULES[0], none)
+    ledger = old.unionByName(secrets.scan_unseen(paths, old, hex_first))
+    assert ledger.count() == 2 * old.count()  # only the new version was due
+    got = rows(secrets.findings(paths, ledger, hex_first).select("doc_id", secrets.joined(F.col("spans"))))
+    want = Counter()
+    for i, t in awkward:
+        a = [(m.start(), 1, m.end()) for m in re.finditer(secrets.ASSIGN, t or "", re.I | re.A) if len(m[2]) >= 6]
+        c = [(m.start(), 0, m.end()) for m in re.finditer("[0-9a-f]+", t or "") if len(m[0]) >= 24]
+        want[(i, ",".join(f"{('hex', 'assign')[k]}:{s}:{e}" for s, k, e in sorted(a + c)))] += 1
+    assert got == want
+    text = secrets.joined(F.col("spans"))
+    again, before = (secrets.findings(paths, x).select("doc_id", text) for x in (ledger, old))
+    assert rows(again) != got and rows(again) == rows(before)
+
+
+def test_added_kinds(spark):
+    """Planted secrets of the added kinds, by hand."""
+    key = "-----BEGIN RSA PRIVATE KEY-----"
+    jwt = "eyJ" + "a" * 10 + "." + "b-" * 5 + "." + "C_" * 5
+    texts = {1: f"x ghp_{'A1' * 18} y", 2: f"{key}\nabc", 3: f"see {jwt}!", 4: "ghp_short eyJx.y.z BEGIN PRIVATE KEY", 5: f"gho_{'Z' * 40}{key}"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    paths = secrets.addressed(docs)
+    got = {r.doc_id: [(s.kind, s.start, s.stop) for s in r.spans] for r in secrets.findings(paths, secrets.scan_unseen(paths)).collect()}
+    assert got == {1: [("github", 2, 42)], 2: [("pem", 0, len(key))], 3: [("jwt", 4, 4 + len(jwt))], 4: [], 5: [("github", 0, 44), ("pem", 44, 44 + len(key))]}
+
+
 def test_redaction(spark, docs):
     clean = secrets.redacted(docs)
     assert clean.columns == docs.columns
@@ -370,6 +401,33 @@ def test_jaccard_join(spark, sf, awkward, batch):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_jaccard_join_of_all_given_documents(spark):
+    root = "/root/testdata/sf0.01"
+    given = [tuple(r) for r in spark.read.parquet(f"{root}/documents.parquet").select("doc_id", "text").collect()]
+    assert rows(registry.QUERIES["op10_partenum_join"](spark, root)) == jaccard_components(given)
+
+
+def test_word_hashes(awkward):
+    seen = {}
+    more = ["a", " a ", "a" * 9000 + " b\t", "\n x\ty  z", "AbC aBc", "  lead", "trail  ", "ab ba aab aba"]
+    for text in [t for _, t in awkward] + more:
+        words = raw(text).lower().split()
+        found = partenum.word_hashes(raw(text)).tolist()
+        assert len(found) == len(words)
+        for word, h in zip(words, found):
+            assert seen.setdefault(word, h) == h
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_caches_of_other_operators_are_dropped():
+    chunks = packing.chunks_for(packing.default_tokenizer())
+    list(chunks.encode([b"some words"]))
+    caches.keep_only(packing.__name__)
+    assert packing.chunks_for(packing.default_tokenizer()) is chunks
+    caches.keep_only(partenum.__name__)
+    assert packing.chunks_for(packing.default_tokenizer()) is not chunks
+
+
 def test_signatures_share_one_for_every_linked_pair():
     rnd = np.random.default_rng(7)
     for _ in range(1500):
@@ -383,6 +441,8 @@ def test_signatures_share_one_for_every_linked_pair():
         assert partenum.least_differences(
             *(np.frombuffer(partenum.sketch_of(x), np.uint8)[None] for x in (a, b))
         )[0] <= len(a) + len(b) - 2 * both
+        bits = np.bitwise_xor(*(partenum.parity_of(x) for x in (a, b)))
+        assert np.bitwise_count(bits.view(np.uint64)).sum() <= len(a) + len(b) - 2 * both
         prefix = [np.concatenate([np.sort(s)[:need] for _, need, s in partenum.signatures(x)]) for x in (a, b)]
         assert len(np.intersect1d(*prefix))
 
@@ -428,6 +488,32 @@ def test_nearest(spark, tmp_path, monkeypatch, block):
     assert found / total >= 0.9
 
 
+@pytest.mark.parametrize("block", [8192, 7])
+def test_nearest_with_repeated_rows_and_several_dimensions(spark, monkeypatch, block):
+    """Rows that share an id count as one; each dimension is searched on its own, however rare."""
+    monkeypatch.setattr(mih, "BLOCK", block)
+    rnd = np.random.default_rng(4)
+    given = [(k, rnd.normal(size=8).tolist()) for k in range(60)] + [(k, rnd.normal(size=3).tolist()) for k in range(100, 130)]
+    given += [(100, given[0][1])] + [given[0]] * 30 + [given[5]] * 40 + [(7, rnd.normal(size=8).tolist())] * 3
+    table = spark.createDataFrame(given, "vec_id long, embedding array<double>").repartition(3)
+    got = defaultdict(list)
+    for r in mih.nearest_neighbours(table, F.col("vec_id") % 50 == 0).collect():
+        got[r.query_id].append((r["rank"], r.vec_id, r.score))
+    want = defaultdict(dict)
+    for q, x in given:
+        for i, y in given:
+            if q % 50 == 0 and i != q and len(x) == len(y):
+                apart = float(np.sqrt(((np.array(x) - y) ** 2).sum()))
+                want[q][i] = min(apart, want[q].get(i, apart))
+    assert set(got) == {0, 50, 100}
+    for q, near in got.items():
+        near.sort()
+        best = sorted((d, i) for i, d in want[q].items())[:10]
+        assert [r for r, _, _ in near] == list(range(1, 11)) and len({i for _, i, _ in near}) == 10
+        assert len({i for _, i, _ in near} & {i for _, i in best}) >= 9
+        assert all(abs(s - want[q][i]) < 1e-9 for _, i, s in near)
+
+
 def test_nearest_of_few_and_none(spark):
     few = spark.createDataFrame([(0, [1.0, 2.0]), (100, [2.0, 1.0]), (3, [0.0, 0.0])], "vec_id long, embedding array<double>")
     got = mih.nearest_neighbours(few, F.col("vec_id") % 100 == 0).collect()
