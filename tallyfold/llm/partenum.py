@@ -50,7 +50,7 @@ WORDS = 5
 #: Link when OF * intersection >= AT_LEAST * union.
 AT_LEAST, OF = 75, 100
 #: Bands of sizes are powers of this. Parts per element of a band's largest set.
-BAND, PARTS = 4, 0.42
+BAND, PARTS = 3, 0.36
 #: Buckets of a sketch; each takes a byte for a count and a byte for a sum.
 BUCKETS = 128
 #: Rounds of pivots at most, and the pairs per member row at which they end before.
@@ -59,8 +59,8 @@ ROUNDS, FEW_PAIRS = 6, 1
 FIRST_ID = -(2**63)
 #: Bits of a parity sketch.
 PARITY = 1024
-#: Signatures have 48 bits, the lowest five of them for the band; more only cost comparisons.
-BAND_BITS = 5
+#: Signatures have 48 bits, the lowest six of them for the band; fewer only cost comparisons.
+BAND_BITS = 6
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
