@@ -23,12 +23,12 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates, the document of smallest id; of equal rows, one.
 
     Rows are known by id and a hash of the text, so rows that share an id but not the text
-    are told apart. Documents without words belong to no group and all stay.
+    are told apart; of rows equal in both, the least by all columns stays. Documents without words belong to no group and all stay.
     """
     keys = [F.coalesce("doc_id", F.lit(-(2**63))).alias("owner"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key")]
     gone = partenum.superseded(docs).select("owner", "text_key")
     left = docs.select(F.struct("*").alias("row"), *keys).join(gone, ["owner", "text_key"], "left_anti")
-    again = F.row_number().over(Window.partitionBy("owner", "text_key").orderBy(F.lit(0)))
+    again = F.row_number().over(Window.partitionBy("owner", "text_key").orderBy("row"))
     worded = F.coalesce(F.col("row.text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     kept = left.withColumn("again", again).where((F.col("again") == 1) | ~worded)
     return kept.select([F.col(f"row.`{c}`") for c in docs.columns])
