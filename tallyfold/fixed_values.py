@@ -398,3 +398,49 @@ NUMBERS = ["tax_amount", "quantity", "billed_quantity", "qty_in_kg", "net_value"
 # The extracts by their delimiter.
 CARET_TABLES = ["T151T", "KNA1", "MARA", "ZCUST_ADD_DETAIL", "MARC", "CEPC", "VBRP", "VBRK", "KNVV"]
 COMMA_TABLES = ["focus_brand", "customer_budget", "Asm_Budget", "material_budget"]
+
+# Customer columns that each sales-force row takes over.
+FORCE_CUSTOMER_COLUMNS = [
+    "customer_name", "block_status", "zone", "region", "state_code", "town_village", "district",
+    "state_name",
+]
+
+# Sales-force columns of the register, old name to new.
+REGISTER_FORCE_COLUMNS = {
+    "customer_code": "customer_code",
+    "customer_name": "customer_name",
+    "region": "region",
+    "state_code": "state_code",
+    "district": "district",
+    "zone": "zone",
+    "zsm_emp_code": "zsm_emp_code",
+    "zsm_email": "zsm_email",
+    "rsm_emp_code": "rsm_emp_code",
+    "rsm_email": "rsm_email",
+    "asm_emp_code": "asm_emp_code",
+    "asm_email": "asm_email",
+    "so_emp_code": "so_emp_code",
+    "so_email": "so_email",
+    "town_village": "town_villa",
+    "zsm_name": "zsm",
+    "rsm_name": "rsm",
+    "asm_name": "asm",
+    "so_name": "so",
+}
+
+# Material columns of the register, old name to new.
+REGISTER_MATERIAL_COLUMNS = {
+    "material_number": "material_code",
+    "prodcat": "product_category",
+    "prodbrand": "product_brand",
+    "brandflav": "brand_flavour",
+    "mrp": "mrp",
+    "packsize": "pack_size",
+    "format": "pack_format",
+    "mrp/cb": "mrp/cb",
+    "no_bisc_pk": "no_of_bisc/pk",
+    "secondarypackqty": "secondary_pack_qty",
+    "sec_pktyp": "secondary_pkt_type",
+    "material_group": "material_group",
+    "new_segment": "business_segment",
+}

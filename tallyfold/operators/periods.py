@@ -27,6 +27,7 @@ from tallyfold.functions.dates import (
     month_start,
     shift_months,
 )
+from tallyfold.operators.joins import unique_by
 
 PERIODS = ("MTD", "LYMTD", "L1MTD", "L2MTD", "L2MMTD", "LM", "LMMTD", "L2M", "YTD", "LYTD")
 
@@ -98,6 +99,7 @@ def period_measures(
     eom: str = "clamp",
     running: bool = True,
     floor: dt.date | None = None,
+    line_key: Sequence[str] = (),
 ) -> DataFrame:
     """One row per key and billed month with every asked-for period and measure.
 
@@ -113,6 +115,7 @@ def period_measures(
     running   YTD and LYTD through each month; otherwise through the key's latest
               month of the fiscal year, the same for all its months
     floor     first reported month; older bills are read only as far as needed
+    line_key  columns that tell bills apart; of bills equal in them one counts
 
     All bills after `as_of` in the current month count in no to-date measure.
     Null measures count as zero.
@@ -128,6 +131,8 @@ def period_measures(
         first_used = fiscal_start_of(floor)
         bills = bills.filter(F.col(date) >= F.lit(first_used.replace(year=first_used.year - 1)))
 
+    if line_key:
+        bills = unique_by(bills, line_key)
     kinds = {s: exact_type(bills, c) for s, c in measures.items()}
     needed = set().union(*[_PARTS[p] for p in periods])
     if "LYMTD" in periods and ly_rule != "shifted":

@@ -196,6 +196,16 @@ def test_unknown_options(spark, bills):
         period_measures(frame(spark, bills), ["k"], "d", {"": "v"}, AS_OF, end_rule="x")
 
 
+def test_bills_delivered_twice_count_once_by_their_key(spark):
+    given = [("a", 1, dt.date(2024, 5, 3), Decimal(5)), ("a", 2, dt.date(2024, 5, 3), Decimal(5)), ("b", 3, dt.date(2024, 5, 4), Decimal(7))]
+    bills = spark.createDataFrame(given * 3, "k string, n int, d date, v decimal(18,2)")
+    all_, once = (
+        {r.k: int(r.MTD) for r in period_measures(bills, ["k"], "d", {"": "v"}, AS_OF, ["MTD"], line_key=key).collect()}
+        for key in ([], ["n"])
+    )
+    assert all_ == {"a": 30, "b": 21} and once == {"a": 10, "b": 7}
+
+
 def test_window_sums_against_brute_force(spark):
     rng = random.Random(8)
     start = dt.date(2023, 1, 1)

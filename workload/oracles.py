@@ -497,6 +497,18 @@ FROM daily a JOIN daily b ON a.customer_code = b.customer_code
 GROUP BY ALL"""
 
 ORACLES["mtd"] = series_query("MTD")
+ORACLES["mtd_of_repeated_bills"] = period_query(
+    f"""{BILLS},
+once AS (
+  SELECT DISTINCT billing_document, billing_item, material_code, billing_type, billing_date,
+         customer_code, product_brand, billing_amount, qty_in_kg, billed_quantity
+  FROM bills
+)""",
+    "once",
+    SERIES,
+    {"MTD": WINDOWS["MTD"]},
+    ["MTD"],
+)
 ORACLES["lymtd_shifted"] = series_query("LYMTD")
 ORACLES["lymtd_asof_end"] = series_query("LYMTD", LYMTD=(shift("m", -12), as_of_end(12)))
 ORACLES["l1mtd_l2mtd"] = series_query("L1MTD", "L2MTD")

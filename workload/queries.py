@@ -516,6 +516,19 @@ def mtd(spark, sf):
     return measure(spark, sf, SERIES, "MTD")
 
 
+BILL_KEY = ["billing_document", "billing_item", "material_code", "billing_type", *MEASURES.values()]
+
+
+@query
+def mtd_of_repeated_bills(spark, sf):
+    """Bills of which some were delivered twice, each counted once."""
+    given = bills(spark, sf)
+    twice = given.unionByName(given.where("billing_item <> 2"))
+    return periods.period_measures(
+        twice, SERIES, "billing_date", MEASURES, AS_OF, ["MTD"], line_key=[*BILL_KEY, "billing_date", *SERIES]
+    )
+
+
 @query
 def lymtd_shifted(spark, sf):
     return measure(spark, sf, SERIES, "LYMTD")
