@@ -13,7 +13,8 @@ third of all documents share is one row per task. Texts move once, to meet their
 Defined cases: null and empty texts have no chunks and stay as they are (null becomes empty);
 rows that share a doc_id are one document, and each is cut by its own text; null ids count as
 one document before all others; an empty table gives an empty result. Only the named columns
-are read for the verdicts, and ``dedup`` keeps all other columns as they are.
+are read for the verdicts, and ``dedup`` keeps all other columns as they are. Very long texts
+are cut whole, one at a time; their chunks spread like all others.
 """
 
 from __future__ import annotations

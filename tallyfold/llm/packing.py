@@ -10,7 +10,8 @@ Tokens come from a tokenizer file. It drops white space, and no token spans any,
 chunk between ASCII white space is encoded on its own, once while the cache has room.
 
 Defined cases: null and empty texts are the closing id alone; repeated rows are packed each;
-null ids stay null; an empty table gives an empty result. Only the named columns are read.
+null ids stay null; very long texts become many pieces; an empty table gives an empty result.
+Only the named columns are read.
 """
 
 from __future__ import annotations

@@ -27,8 +27,9 @@ many others still have their parities compared in pairs. Nothing is dropped for
 
 Defined cases: null and empty texts have empty sets and link with nothing; with fewer than five
 words the whole sequence is the one shingle; rows that repeat an id and text link as copies;
-null ids stay null and never are a component's id unless all its ids are null; an empty table
-gives an empty result. Only the named columns are read.
+null ids stay null and never are a component's id unless all its ids are null; very long texts
+are one large set, hashed whole; an empty table gives an empty result. Only the named columns
+are read.
 """
 
 from __future__ import annotations

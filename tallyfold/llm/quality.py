@@ -7,7 +7,8 @@ and each rule's removal does. A new policy reads the ledger, never the texts.
 
 Defined cases: a null or empty text has no words and fails ``few_words``; repeated rows are
 judged alike, each on its own; an empty table gives an empty result; columns that are not
-named in the arguments are never read, so their names cannot clash. Null ids stay null.
+named in the arguments are never read, so their names cannot clash. Null ids stay null. Very
+long texts are measured whole, one row at a time.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ joins the findings back to all paths.
 
 Defined cases: a null text is the empty blob; equal texts share one scan, and repeated rows
 each get its findings; null ids stay null; an empty table gives an empty result. Only the
-named columns are read, so extra names cannot clash. Offsets are code points, ends exclusive.
+named columns are read, so extra names cannot clash. Very long texts are scanned whole, once per
+blob. Offsets are code points, ends exclusive.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ of ranges follows the row count.
 
 Defined cases: null sources are a source of their own; a null text has no bytes; rows that
 repeat the same id and text are interchangeable and each get a place; an empty table gives
-an empty result. Only the named columns are read, so extra names cannot clash.
+an empty result; a very long text is a large size like any other. Only the named columns are
+read, so extra names cannot clash.
 """
 
 from __future__ import annotations

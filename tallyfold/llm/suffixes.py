@@ -19,8 +19,9 @@ first of every class; those meet by digest.
 
 Defined cases: null texts are empty; texts under LENGTH bytes lose nothing; equal rows (id and
 text) are one document, and each gets its result; rows that share an id but not the text are
-ordered by a hash of the text; null ids come first; an empty table gives an empty result. Only
-the named columns are read.
+ordered by a hash of the text; null ids come first; an empty table gives an empty result; very
+long texts are read in parts of 4 MiB that overlap by a window, so none is missed. Only the
+named columns are read.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ Words are runs of anything but the six ASCII white-space characters, each led by
 vocabulary's word-start mark. A word that can't be covered is one unknown token.
 
 Defined cases: null and empty texts have no words; repeated rows are counted alike; null ids
-stay null; an empty table gives an empty result. Only the named columns are read.
+stay null; an empty table gives an empty result; very long texts are walked whole, one at a
+time. Only the named columns are read.
 """
 
 from __future__ import annotations
