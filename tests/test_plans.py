@@ -1,0 +1,81 @@
+"""What billing lines and reports read, shuffle and stage."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from tallyfold.fixed_values import HEADER_FIELDS, ITEM_FIELDS
+from tallyfold.plans import billing, register, reports
+
+AS_OF = dt.date(2024, 5, 20)
+
+
+def extract(spark, names, rows):
+    """Text rows that hold the given new names, all other fields empty."""
+    old = {new: name for name, new in names.items()}
+    fields = ", ".join(f"{name} string" for name in names)
+    filled = [[{old[k]: v for k, v in row.items()}.get(name, "") for name in names] for row in rows]
+    return spark.createDataFrame(filled, fields)
+
+
+def given(spark):
+    headers = [
+        {"billing_document": str(d), "billing_date": f"2024050{d}", "billing_type": "ZF2", "customer_group": "DL"}
+        for d in (1, 2, 3)
+    ]
+    items = [
+        {"billing_document": d, "billing_item": i, "net_value": n, "tax_amount": "0.50", "material_code": "m"}
+        for d, i, n in (("1", "1", "1,000.00-"), ("1", "2", "5"), ("1", "2", "5"), ("2", "1", "x"), ("9", "1", "7"))
+    ]
+    return extract(spark, HEADER_FIELDS, headers), extract(spark, ITEM_FIELDS, items)
+
+
+def amounts(lines):
+    return sorted((r.billing_document, str(r.billing_amount)) for r in lines.collect())
+
+
+LINES = [("1", "-999.50"), ("1", "5.50"), ("1", "5.50"), ("2", "0.50"), ("3", "None")]
+
+
+def test_hot_documents_are_measured_before_repeated_lines_go(spark, monkeypatch):
+    header, items = given(spark)
+    measured, found = [], billing.hot_keys
+    monkeypatch.setattr(billing, "hot_keys", lambda df, keys: measured.append(df) or found(df, keys))
+    once = billing.billing_lines(header, items, line_key=["billing_document", "billing_item"])
+    assert [df.count() for df in measured] == [items.count()]
+    assert amounts(once) == sorted({*LINES})
+
+
+def test_numbers_are_read_behind_the_shuffle_of_the_join(spark, monkeypatch):
+    header, items = given(spark)
+    lines = billing.billing_lines(header, items)
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("try_cast") < plan.index("RepartitionByExpression")
+    assert amounts(lines) == LINES
+    # A hot document is split by AQE, which needs the join right behind its own shuffle.
+    monkeypatch.setattr(billing, "hot_keys", lambda df, keys: [("1",)])
+    split = billing.billing_lines(header, items)
+    assert "RepartitionByExpression" not in split._jdf.queryExecution().optimizedPlan().toString()
+    assert amounts(split) == LINES
+
+
+def test_brand_sales_are_summed_once(spark):
+    header, items = given(spark)
+    daily = billing.daily_sales(billing.billing_lines(header, items))
+    materials = spark.createDataFrame([("m", "b")], "material_code string, product_brand string")
+    facts = register.brand_facts(daily, materials)
+    assert any("/brand_by_year-" in f for f in facts.inputFiles())
+    rows = {(r.billing_fiscal_year, r.product_brand, str(r.brand_billing_amount)) for r in facts.collect()}
+    # The bare header has no material and so no brand.
+    assert rows == {(2024, "b", "-988.00"), (2024, "", "None")}
+
+
+def test_stored_daily_sales_come_from_staged_lines(spark, tmp_path, monkeypatch):
+    header, items = given(spark)
+    seen, real = [], reports.publish
+    monkeypatch.setattr(reports, "publish", lambda df, *a: seen.append(df.inputFiles()) or real(df, *a))
+    options = reports.ReportOptions(as_of=AS_OF)
+    with reports.Reports(spark, {"VBRK": header, "VBRP": items}, options, str(tmp_path)) as built:
+        total = built.daily.agg(F.sum("billing_amount").alias("x"), F.sum("lines").alias("n")).first()
+        assert (float(total.x), total.n) == (-988.0, 4)
+        assert seen[0] and all("/billing_lines-" in f for f in seen[0])
