@@ -795,7 +795,7 @@ def incremental_daily_sales(spark, sf):
     were missing, then those months alone were summed again."""
     store = scratch_path(spark, "store")
     given = extracts(spark, sf)
-    lines = billing.billing_lines(given["VBRK"], given["VBRP"])
+    lines = stage(billing.billing_lines(given["VBRK"], given["VBRP"]), reports.LINES)
     known = ~((F.col("billing_date") >= F.lit(FLOOR)) & (F.col("customer_group") == "MT"))
     reports.refresh_daily(lines.where(known), store)
     daily = read_version(spark, store, reports.DAILY, version=reports.refresh_daily(lines, store).version)
