@@ -299,3 +299,15 @@ def test_cut_day_sums_rise(spark):
     row = B.cut_day_sums(df, ["c"], "d", "v").first()
     sums = [row[f"achievement_of_sales_till_{c}_of_month"] for c in B.CUTS]
     assert sums == sorted(sums) and sums[-1] == sum(range(1, 32))
+
+
+def test_least_by_gives_the_rows_of_unique_by(spark):
+    data = [("a", 2, "x", 1), ("a", 1, "z", 1), ("a", 1, None, 2), ("b", None, "w", 3), (None, 1, "v", 4), (None, 0, "v", 4)]
+    df = spark.createDataFrame(data, "`k.1` string, n int, t string, u int").repartition(3)
+    assert sorted(map(tuple, joins.least_by(df, df.columns).collect()), key=str) == sorted(data, key=str)
+    for keys in (["k.1"], ["t", "u"]):
+        got, want = joins.least_by(df, keys), joins.unique_by(df, keys)
+        assert got.columns == df.columns
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    narrow = joins.least_by(df, ["u"]).select("u")
+    assert "min(" not in narrow._jdf.queryExecution().optimizedPlan().toString()

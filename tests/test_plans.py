@@ -79,3 +79,34 @@ def test_stored_daily_sales_come_from_staged_lines(spark, tmp_path, monkeypatch)
         total = built.daily.agg(F.sum("billing_amount").alias("x"), F.sum("lines").alias("n")).first()
         assert (float(total.x), total.n) == (-988.0, 4)
         assert seen[0] and all("/billing_lines-" in f for f in seen[0])
+
+
+def read_in(plan, field):
+    """In how many steps of a plan a field is, but for the table that holds it."""
+    return sum(field in line and "RDD" not in line for line in plan.splitlines())
+
+
+def test_repeated_lines_go_within_the_shuffle_of_the_join(spark):
+    header, items = given(spark)
+    key = ["billing_item", "billing_document", "net_value", "tax_amount"]
+    once = billing.billing_lines(header, items, line_key=key).groupBy("customer_group").agg(F.sum("billing_amount"))
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    moved = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "billing_document" in x]
+    assert moved and not any("billing_item" in x.split("hashpartitioning")[1] for x in moved)
+    assert "WindowGroupLimit" not in plan and read_in(plan, "FKIMG") == 0
+    assert amounts(billing.billing_lines(header, items, line_key=key)) == sorted({*LINES})
+    # Without the document in the key, equal lines of several documents are one.
+    apart = billing.billing_lines(header, items, line_key=["billing_item"])
+    assert amounts(apart) == [("1", "-999.50"), ("1", "5.50"), ("2", "None"), ("3", "None")]
+
+
+def test_a_report_that_reads_daily_sales_once_does_not_stage_them(spark):
+    header, items = given(spark)
+    with reports.Reports(spark, {"VBRK": header, "VBRP": items}, reports.ReportOptions(as_of=AS_OF)) as built:
+        materials = spark.createDataFrame([("m", "s")], "material_code string, business_segment string")
+        sales = reports.segment_sales(built.daily_once, materials)
+        plan = sales._jdf.queryExecution().optimizedPlan().toString()
+        assert not built.staged.paths and read_in(plan, "NETWR") and not read_in(plan, "FKLMG")
+        total = built.daily_once.agg(F.sum("billing_amount")).first()[0]
+        assert total == built.daily.agg(F.sum("billing_amount")).first()[0]
+        assert all("/daily_sales-" in f for f in built.daily_once.inputFiles()) and built.staged.paths
