@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyfold.operators.periods import PERIODS, growth, per_day, period_measures, window_sums
+from workload.queries import REGISTRY
 
 AS_OF = dt.date(2024, 5, 20)
 CENT = Decimal("0.01")
@@ -252,3 +253,33 @@ def test_window_sums_never_pair_anchors_with_bills(spark):
 
     walk(got._jdf.queryExecution().executedPlan().executedPlan())
     assert len(made) > 5 and 0 < max(made) <= 5_000 + 200 * 8
+
+
+def test_months_counted_whole_to_as_of_have_no_sums_of_their_own(spark, bills):
+    got = period_measures(
+        frame(spark, bills), ["k"], "d", {"": "v"}, AS_OF, ["L1MTD", "L2MTD", "L2MMTD"], end_rule="as_of"
+    )
+    # Whole months and those cut at `as_of`, each as two bigints that are named twice.
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    sums = next(x for x in plan.splitlines() if "Aggregate" in x)
+    assert sums.count("sum(") == 8
+
+
+def test_window_join_reads_bills_once(spark, tmp_path):
+    day = dt.date(2024, 5, 1)
+    orders = [(k, 1, day + dt.timedelta(30 * k), "2-HIGH") for k in range(3)]
+    money = [F.lit(v).cast("decimal(15,2)").alias(c) for c, v in (
+        ("l_extendedprice", 100), ("l_discount", 0), ("l_tax", 0), ("l_quantity", 1))]
+    tables = {
+        "orders": spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate date, o_orderpriority string"),
+        "lineitem": spark.range(3).select(
+            F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"), F.lit(7).cast("long").alias("l_partkey"),
+            F.lit("A").alias("l_returnflag"), *money),
+        "part": spark.sql("SELECT 7L p_partkey, 'b' p_brand, 't' p_type, 1 p_size"),
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    got = REGISTRY["window_join"](spark, str(tmp_path))
+    assert got.inputFiles() and all("/daily-" in f for f in got.inputFiles())
+    assert sorted((r.last, r.amount, r.days) for r in got.collect()) == [
+        ("2024-05-01", 100.0, 1), ("2024-05-31", 200.0, 2), ("2024-06-30", 200.0, 2)]

@@ -493,9 +493,11 @@ def focus_brand_tag(spark, sf):
 @query
 def window_join(spark, sf):
     """Sales of each customer's bill days in the 45 days up to them."""
-    daily = groups.group_sum(
+    sums = groups.group_sum(
         bills(spark, sf), ["customer_code", "billing_date"], "billing_amount", "amount"
     )
+    # The anchors and the bills: bills are joined once.
+    daily = stage(sums, "daily")
     day = F.col("billing_date")
     anchors = daily.select(
         "customer_code", F.date_sub(day, 45).alias("first"), day.alias("last")
