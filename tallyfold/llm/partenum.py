@@ -273,10 +273,62 @@ def _signed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                     found, size = {}, 0
             yield rows()
 
-    # Without nulls no filter differs between the readers, so they share one shuffle.
     return _rows(docs, doc_id, text).mapInArrow(run, "sign long not null, set_id long not null")
 
 
+def _starts(signs: np.ndarray) -> np.ndarray:
+    """Where runs of equal numbers start, and the end."""
+    return np.concatenate([[0], np.flatnonzero(signs[1:] != signs[:-1]) + 1, [len(signs)]])
+
+
+def _sharing(signs: np.ndarray, owners: np.ndarray) -> list[np.ndarray]:
+    """sign, set_id and the sign's rows, for whole runs of rows in order of their sign: once for
+    each set of the signatures that several sets share."""
+    sizes = np.diff(_starts(signs))
+    n = np.repeat(sizes, sizes)
+    rows = np.flatnonzero(n > 1)
+    rows = rows[np.lexsort((owners[rows], signs[rows]))]
+    signs, owners, n = signs[rows], owners[rows], n[rows]
+    first = np.ones(len(rows), bool)
+    first[1:] = (signs[1:] != signs[:-1]) | (owners[1:] != owners[:-1])
+    signs, owners, n = signs[first], owners[first], n[first]
+    sets = np.diff(_starts(signs)) if len(signs) else np.empty(0, np.int64)
+    several = np.repeat(sets, sets) > 1
+    return [signs[several], owners[several], n[several]]
+
+
+def _members(signed: DataFrame) -> DataFrame:
+    """(sign, set_id, n): the sets of each signature that several share, and its rows.
+
+    One shuffle and one sort by signature, read once as a stream of runs; a task holds a batch
+    and the run that is open, 16 bytes a row.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        caches.keep_only(__name__)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def closed() -> pa.RecordBatch:
+            found = _sharing(*(np.concatenate(c) for c in zip(*held)))
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=["sign", "set_id", "n"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            signs, owners = (batch.column(k).to_numpy() for k in (0, 1))
+            cut = int(np.searchsorted(signs, signs[-1]))
+            held.append((signs[:cut], owners[:cut]))
+            if cut:
+                yield closed()
+                held = []
+            held.append((signs[cut:], owners[cut:]))
+        if held:
+            yield closed()
+
+    by_sign = signed.repartition("sign").sortWithinPartitions("sign")
+    return by_sign.mapInArrow(run, "sign long, set_id long, n long")
+
+
 def _paired(pairs: DataFrame, sets: DataFrame, columns: list[str]) -> DataFrame:
     """(a, b) of set ids with columns of both sets."""
     side = lambda n: sets.select(F.col("set_id").alias(n), *[F.col(c).alias(f"{c}_{n}") for c in columns])
@@ -318,10 +370,7 @@ def link_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """
     owners = stage(sets_of(docs, doc_id, text), "owners")
     worded = owners.where("set_id is not null")
-    signed = _signed(docs, doc_id, text).repartition("sign")
-    shared = signed.groupBy("sign").agg(F.count("*").alias("n"), F.min("set_id").alias("low"), F.max("set_id").alias("high"))
-    shared = shared.where("low < high").select("sign", "n")
-    members = signed.join(shared, "sign").dropDuplicates(["sign", "set_id"])
+    members = _members(_signed(docs, doc_id, text))
 
     # The rarest signatures of each set and band, as many as its prefix needs.
     band = F.col("sign").bitwiseAND(F.lit((1 << BAND_BITS) - 1)).alias("band")

@@ -1,6 +1,7 @@
 """Each operator against a brute-force reading, over documents with every awkward case."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -537,3 +538,22 @@ def test_recall_on_the_given_vectors(spark):
             [int(ids[k]) for k in np.lexsort((ids, apart)) if ids[k] != q][:10]
         ))
     assert found / (10 * len(got)) >= 0.9
+
+
+def test_shared_signatures_are_read_once_whatever_the_batches(spark):
+    rng = random.Random(5)
+    data = [(s, rng.randrange(6)) for s in (rng.randrange(40) for _ in range(300))] + [(99, 1)] * 9 + [(77, k) for k in range(30)]
+    signed = spark.createDataFrame(data, "sign long, set_id long").repartition(3)
+    want = []
+    for sign in {s for s, _ in data}:
+        sets = [o for s, o in data if s == sign]
+        want += [(sign, o, len(sets)) for o in set(sets) if len(set(sets)) > 1]
+    for size in ("1", "7", "10000"):
+        before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            got = partenum._members(signed)
+            assert sorted(map(tuple, got.collect())) == sorted(want)
+        finally:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
