@@ -17,8 +17,10 @@ prefix principle. The order is by how many sets share a signature, counted over
 passages that many documents hold come last and do not bring their documents together.
 
 Links. In a group of sets that share a signature, all are compared with one pivot; after some
-rounds with other pivots, only sets still in different components are paired. Copies and near
-copies cost a few comparisons each, never all pairs. Where two sets meet, their sizes and the
+rounds with other pivots, only sets still in different components are paired. Each round takes
+the groups that the last one left in several components; rounds end when hardly a pair fewer
+is left, as further pivots would only cost shuffles. Copies and near copies cost a few
+comparisons each, never all pairs. Where two sets meet, their sizes and the
 parities of 1,024 buckets bound the differences from below, within the join; then sketches of
 fixed size do, and at last the sets are intersected. No link is lost.
 
@@ -56,6 +58,8 @@ BAND, PARTS = 3, 0.36
 BUCKETS = 128
 #: Rounds of pivots at most, and the pairs per member row at which they end before.
 ROUNDS, FEW_PAIRS = 6, 1
+#: Rounds also end after one that leaves more than this part of the pairs.
+STALLED = 0.9
 #: Stands for a null id where rows are told apart by id.
 FIRST_ID = -(2**63)
 #: Bits of a parity sketch.
@@ -384,8 +388,7 @@ def link_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         .select("sign", "set_id")
     )
     rare = stage(rare, "rare")
-    several = rare.groupBy("sign").agg(F.count("*").alias("n")).where("n > 1").select("sign")
-    groups = stage(rare.join(several, "sign", "left_semi"), "groups")
+    groups = stage(_mixed(rare.withColumn("label", F.col("set_id")), 0).drop("label"), "groups")
 
     # What is known of their sets, the elements from the text of one document of each.
     first = worded.groupBy("set_id").agg(F.min(_row_key()).alias("row_key"))
@@ -396,28 +399,39 @@ def link_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     nodes = groups.select(F.col("set_id").alias("node")).distinct()
     labels = stage(nodes.withColumn("label", F.col("node")), "labels")
+    mixed, before = stage(groups.withColumn("label", F.col("set_id")).join(known, "set_id"), "mixed"), None
     for turn in range(ROUNDS):
-        labelled = groups.join(labels.withColumnRenamed("node", "set_id"), "set_id")
-        mixed = labelled.groupBy("sign").agg(
-            F.count("*").alias("n"), F.min("label").alias("l"), F.max("label").alias("h"), F.min(_turned(turn)).alias("key")
-        )
-        mixed = labelled.join(mixed.where("l < h").drop("l", "h"), "sign").withColumn("own", _turned(turn))
-        mixed = stage(mixed.join(known, "set_id"), "mixed")
-        rows, pairs = mixed.agg(F.count("*"), F.sum(F.col("n") - 1) / 2).first()
-        if not rows or (turn and pairs <= FEW_PAIRS * rows):
+        rows, pairs = _left(mixed)
+        if not rows or (turn and (pairs <= FEW_PAIRS * rows or pairs > STALLED * before)):
             break
-        star = _side(mixed.where("own = key"), "a").join(_side(mixed, "b"), "sign")
+        star = _side(mixed.where("pivot"), "a").join(_side(mixed, "b"), "sign")
         star = star.where((F.col("label_a") != F.col("label_b")) & _may_link()).select("a", "b").distinct()
-        labels = _merged(labels, _linked(star, sets))
-    labelled = groups.join(labels.withColumnRenamed("node", "set_id"), "set_id")
-    mixed = labelled.groupBy("sign").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l < h")
-    mixed = stage(labelled.join(mixed.select("sign"), "sign", "left_semi").join(known, "set_id"), "mixed")
+        labels, before = _merged(labels, _linked(star, sets)), pairs
+        # A group of one label stays so; only the others go on.
+        labelled = mixed.select("sign", "set_id").join(labels.withColumnRenamed("node", "set_id"), "set_id")
+        mixed = stage(_mixed(labelled, turn + 1).join(known, "set_id"), "mixed")
     rest = _side(mixed, "a").join(_side(mixed, "b"), "sign")
     rest = rest.where((F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & _may_link())
     rest = rest.select("a", "b").distinct()
     return owners, _merged(labels, _linked(rest, sets))
 
 
+def _mixed(labelled: DataFrame, turn: int) -> DataFrame:
+    """The members of groups with several labels, their number and which one is this turn's pivot."""
+    found = labelled.groupBy("sign").agg(
+        F.count("*").alias("n"), F.min("label").alias("l"), F.max("label").alias("h"), F.min(_turned(turn)).alias("key")
+    )
+    met = labelled.join(found.where("l < h").drop("l", "h"), "sign")
+    return met.withColumn("pivot", _turned(turn) == F.col("key")).drop("key")
+
+
+def _left(mixed: DataFrame) -> tuple[int, int]:
+    """Rows of the groups, and their pairs of sets of different labels, counted without forming them."""
+    alike = mixed.groupBy("sign", "label").agg(F.count("*").alias("c"), F.first("n").alias("n"))
+    rows, pairs = alike.agg(F.sum("c"), F.sum(F.col("c") * (F.col("n") - F.col("c")))).first()
+    return rows or 0, (pairs or 0) // 2
+
+
 def _side(mixed: DataFrame, n: str) -> DataFrame:
     """Members of groups as the side a or b of a pair."""
     columns = [F.col(c).alias(f"{c}_{n}") for c in ("label", "n_shingles", *PARITIES)]

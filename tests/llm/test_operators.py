@@ -557,3 +557,40 @@ def test_shared_signatures_are_read_once_whatever_the_batches(spark):
         finally:
             spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def clustered(clusters, alone, size=60):
+    """(doc_id, text): clusters of near copies, and texts that share most words without a link."""
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choice("aeioutnsr") for _ in range(9))
+    out, common = [], [word() for _ in range(3 * size // 4)]
+    for _ in range(clusters):
+        base = [word() for _ in range(2 * size)]
+        out += [" ".join(base[:k] + [word()] + base[k + 1 :]) for k in (0, 30, 60, 90, 2 * size - 1)]
+    out += [" ".join(common + [word() for _ in range(size // 4 - 1)]) for _ in range(alone)]
+    return list(enumerate(out))
+
+
+def test_rounds_end_when_no_pairs_go_and_take_open_groups_only(spark, monkeypatch):
+    given = clustered(8, 40)
+    docs = spark.createDataFrame(given, "doc_id long, text string").repartition(3)
+    rounds, groups, linked, mixed = [], [], partenum._linked, partenum._mixed
+    monkeypatch.setattr(partenum, "_linked", lambda pairs, sets: rounds.append(1) or linked(pairs, sets))
+    monkeypatch.setattr(partenum, "_mixed", lambda labelled, turn: groups.append(labelled.count()) or mixed(labelled, turn))
+    # Whole signature groups, as of texts that share much and have little that is rare.
+    monkeypatch.setattr(partenum, "FEW_PAIRS", 0)
+    assert rows(partenum.near_duplicates(docs)) == jaccard_components(given)
+    assert len(rounds) < partenum.ROUNDS and len(groups) == len(rounds)
+    assert groups == sorted(groups, reverse=True) and groups[-1] < groups[1]
+
+
+def test_pairs_left_are_counted_without_forming_them(spark):
+    rng = random.Random(6)
+    data = sorted({(rng.randrange(9), rng.randrange(50)) for _ in range(200)})
+    labelled = spark.createDataFrame([(s, i, i % 4) for s, i in data], "sign long, set_id long, label long")
+    got = partenum._mixed(labelled, 1)
+    member = [(r.sign, r.set_id, r.label) for r in got.collect()]
+    want = sum(x[0] == y[0] and x[1] < y[1] and x[2] != y[2] for x in member for y in member)
+    assert partenum._left(got) == (len(member), want)
+    assert got.where("pivot").count() == len({s for s, _, _ in member})
+    assert partenum._left(got.limit(0)) == (0, 0)
