@@ -16,16 +16,20 @@ Prefix. In any order common to all sets, the first k + 1 signatures of a set are
 prefix principle. The order is by how many sets share a signature, counted over all of them, so
 passages that many documents hold come last and do not bring their documents together.
 
-Links. In a group of sets that share a signature, all are compared with one pivot; after some
-rounds with other pivots, only sets still in different components are paired. Each round takes
-the groups that the last one left in several components; rounds end when hardly a pair fewer
-is left, as further pivots would only cost shuffles. Copies and near copies cost a few
-comparisons each, never all pairs. Where two sets meet, their sizes and the
-parities of 1,024 buckets bound the differences from below, within the join; then sketches of
-fixed size do, and at last the sets are intersected. No link is lost.
+Links. Signatures that the same sets share make one group. In a group of sets that share a
+signature, all are compared with one pivot; after some rounds with other pivots, only sets still
+in different components are paired. Each round takes the groups that the last one left in several
+components; rounds end when hardly a pair fewer is left, as further pivots would only cost
+shuffles. Copies and near copies cost a few comparisons each, never all pairs. Of the groups that
+two sets share, they meet in one: each set has the least of its signatures in sixteen orders, and
+the first that two sets have in common is where they are paired. Where two sets meet, their sizes
+and the parities of 1,024 buckets bound the differences from below, within the join; then sketches
+of fixed size do, and at last the sets are intersected. No link is lost.
 
 What stays: sets that are not linked but share between about 2/3 and 6/7 of their shingles with
-many others still have their parities compared in pairs. Nothing is dropped for that.
+many others still have their parities compared in pairs. Nothing is dropped for that. Sets that
+have none of their least signatures in common, as is likely only where they share few of many,
+are paired in every group they share.
 
 Defined cases: null and empty texts have empty sets and link with nothing; with fewer than five
 words the whole sequence is the one shingle; rows that repeat an id and text link as copies;
@@ -37,7 +41,7 @@ are read.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -66,6 +70,8 @@ FIRST_ID = -(2**63)
 PARITY = 1024
 #: Signatures have 48 bits, the lowest six of them for the band; fewer only cost comparisons.
 BAND_BITS = 6
+#: Orders of signatures, of which each set gives its least: by the bits after a change of some.
+ORDERS = 16
 
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -197,6 +203,9 @@ def parity_of(shingles: np.ndarray) -> np.ndarray:
 
 
 PARITIES = [f"parity{k}" for k in range(PARITY // 64)]
+LEAST = [f"least{k}" for k in range(ORDERS)]
+#: The bits that each order changes; the first four differ, the others are random.
+_CHANGED = [k * 2**48 // ORDERS + int(x) % (2**48 // ORDERS) for k, x in enumerate(_weights(ORDERS))]
 
 
 def _may_link() -> Column:
@@ -207,6 +216,19 @@ def _may_link() -> Column:
     return near & ((OF + AT_LEAST) * apart <= (OF - AT_LEAST) * (n_a + n_b))
 
 
+def _meet_here() -> Column:
+    """Whether sets a and b are to be paired at this signature, within a join.
+
+    The first least signature that both have in common is one that they share, so they meet there
+    and need no other. Without any, they meet wherever they can.
+    """
+    here = F.lit(True)
+    for name, changed in reversed([*zip(LEAST, _CHANGED)]):
+        a, b = F.col(f"{name}_a"), F.col(f"{name}_b")
+        here = F.when(a == b, F.col("sign").bitwiseXOR(F.lit(changed)) == a).otherwise(here)
+    return here
+
+
 def least_differences(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Differences that sets must have at least, row by row of their sketches."""
     count_a, count_b = a[:, :BUCKETS].astype(np.int64), b[:, :BUCKETS].astype(np.int64)
@@ -387,7 +409,7 @@ def link_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         .where("from_last > spare")
         .select("sign", "set_id")
     )
-    rare = stage(rare, "rare")
+    rare = _unlike(stage(rare, "rare"))
     groups = stage(_mixed(rare.withColumn("label", F.col("set_id")), 0).drop("label"), "groups")
 
     # What is known of their sets, the elements from the text of one document of each.
@@ -410,10 +432,29 @@ def link_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         # A group of one label stays so; only the others go on.
         labelled = mixed.select("sign", "set_id").join(labels.withColumnRenamed("node", "set_id"), "set_id")
         mixed = stage(_mixed(labelled, turn + 1).join(known, "set_id"), "mixed")
-    rest = _side(mixed, "a").join(_side(mixed, "b"), "sign")
-    rest = rest.where((F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & _may_link())
-    rest = rest.select("a", "b").distinct()
-    return owners, _merged(labels, _linked(rest, sets))
+    return owners, _merged(labels, _linked(_rest(mixed, known).distinct(), sets))
+
+
+def _unlike(rare: DataFrame) -> DataFrame:
+    """(sign, set_id) of signatures that several sets share; of those that the same sets share, one.
+
+    Which sets share a signature is known by their number and two sums of 64 bits.
+    """
+    same = ["n", "x", "y"]
+    sums = [F.count("*").alias("n"), F.bit_xor("set_id").alias("x"), F.bit_xor(F.xxhash64("set_id")).alias("y")]
+    found = rare.groupBy("sign").agg(*sums).where("n > 1")
+    return rare.join(found.groupBy(*same).agg(F.min("sign").alias("sign")).select("sign"), "sign").select("sign", "set_id")
+
+
+def _rest(mixed: DataFrame, known: DataFrame) -> DataFrame:
+    """(a, b) of sets of different labels in a group that may link: once where they have a least
+    signature in common, else once per group."""
+    least = [F.min(F.col("sign").bitwiseXOR(F.lit(c))).alias(name) for name, c in zip(LEAST, _CHANGED)]
+    known = known.join(mixed.groupBy("set_id").agg(*least), "set_id")
+    members = mixed.select("sign", "set_id", "label").join(known, "set_id")
+    pairs = _side(members, "a", LEAST).join(_side(members, "b", LEAST), "sign")
+    apart = (F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b"))
+    return pairs.where(apart & _meet_here() & _may_link()).select("a", "b")
 
 
 def _mixed(labelled: DataFrame, turn: int) -> DataFrame:
@@ -432,9 +473,12 @@ def _left(mixed: DataFrame) -> tuple[int, int]:
     return rows or 0, (pairs or 0) // 2
 
 
-def _side(mixed: DataFrame, n: str) -> DataFrame:
-    """Members of groups as the side a or b of a pair."""
-    columns = [F.col(c).alias(f"{c}_{n}") for c in ("label", "n_shingles", *PARITIES)]
+def _side(mixed: DataFrame, n: str, more: Sequence[str] = ()) -> DataFrame:
+    """Members of groups as the side a or b of a pair.
+
+    None of the columns holds nulls; said so, the join's condition needs no checks for them.
+    """
+    columns = [F.coalesce(c, F.lit(0)).alias(f"{c}_{n}") for c in ("label", "n_shingles", *PARITIES, *more)]
     return mixed.select("sign", F.col("set_id").alias(n), *columns)
 
 

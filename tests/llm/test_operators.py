@@ -594,3 +594,55 @@ def test_pairs_left_are_counted_without_forming_them(spark):
     assert partenum._left(got) == (len(member), want)
     assert got.where("pivot").count() == len({s for s, _, _ in member})
     assert partenum._left(got.limit(0)) == (0, 0)
+
+
+def groups_of_sets(rng):
+    """sign -> sets: passages that several sets share give many signatures, some single ones besides."""
+    passages = [rng.sample(range(40), rng.randrange(2, 12)) for _ in range(25)]
+    signs = rng.sample(range(2**48), 25 * 30 + 60)
+    out = {s: passages[k % 25] for k, s in enumerate(signs[:-60])}
+    # Most passages are not shared whole.
+    out = {s: [x for x in sets if rng.random() < 0.9] for s, sets in out.items()}
+    return out | {s: rng.sample(range(40), rng.randrange(1, 4)) for s in signs[-60:]}
+
+
+def test_sets_that_share_many_signatures_are_paired_in_few_groups(spark):
+    groups = {s: sets for s, sets in groups_of_sets(random.Random(12)).items() if len(sets) > 1}
+    data = [(s, x, x % 7) for s, sets in groups.items() for x in sets]
+    mixed = spark.createDataFrame(data, "sign long, set_id long, label long").repartition(3)
+    parities = [F.lit(0).cast("long").alias(p) for p in partenum.PARITIES]
+    known = spark.range(40).select(F.col("id").alias("set_id"), F.lit(90).cast("long").alias("n_shingles"), *parities)
+    got = Counter((r.a, r.b) for r in partenum._rest(mixed, known).collect())
+    met = Counter((x, y) for sets in groups.values() for x in sets for y in sets if x < y and x % 7 != y % 7)
+    assert set(got) == set(met)
+    assert all(got[p] in (1, met[p]) for p in met)
+    assert sum(got.values()) < 0.2 * sum(met.values())
+
+
+def test_signatures_that_the_same_sets_share_make_one_group(spark):
+    groups = groups_of_sets(random.Random(13))
+    data = [(s, x) for s, sets in groups.items() for x in sets]
+    got = partenum._unlike(spark.createDataFrame(data, "sign long, set_id long").repartition(3)).collect()
+    kept = {}
+    for r in got:
+        kept.setdefault(r.sign, set()).add(r.set_id)
+    want = {frozenset(sets) for sets in groups.values() if len(sets) > 1}
+    assert len(kept) == len(want) and {frozenset(x) for x in kept.values()} == want
+    assert all(kept[s] == set(groups[s]) for s in kept) and len(got) == sum(map(len, kept.values()))
+
+
+def test_rounds_take_one_of_the_groups_of_the_same_sets(spark, monkeypatch):
+    given = clustered(6, 0)
+    docs = spark.createDataFrame(given + [(1000 + i, t) for i, t in given], "doc_id long, text string").repartition(3)
+    taken, mixed = [], partenum._mixed
+
+    def noted(labelled, turn):
+        sets = {}
+        for r in labelled.collect():
+            sets.setdefault(r.sign, set()).add(r.set_id)
+        taken.append([frozenset(x) for x in sets.values()])
+        return mixed(labelled, turn)
+
+    monkeypatch.setattr(partenum, "_mixed", noted)
+    assert rows(partenum.near_duplicates(docs)) == jaccard_components(given + [(1000 + i, t) for i, t in given])
+    assert taken[0] and all(len(x) == len(set(x)) for x in taken)
