@@ -311,3 +311,16 @@ def test_least_by_gives_the_rows_of_unique_by(spark):
         assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
     narrow = joins.least_by(df, ["u"]).select("u")
     assert "min(" not in narrow._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lookup_in_place_is_a_left_join_without_an_exchange(spark):
+    left = [("a", 1, "x"), ("a", 1, "y"), ("a", 2, None), ("b", 1, "z"), (None, 1, "n"), ("a", None, "m")]
+    dim = [(1, "a", 5, None), (1, "c", 6, "u"), (1, None, 7, "v"), (1, "b", None, "w"), (None, "a", 8, "q")]
+    df = spark.createDataFrame(left, "k string, n int, `t.t` string").repartition(5, "k")
+    found = spark.createDataFrame(dim, "n int, k string, v int, `u/u` string").repartition(5, "k")
+    got, want = joins.lookup_in_place(df, found, ["k", "n"]), joins.left_lookup(df, found, ["k", "n"])
+    assert got.columns == want.columns and [f.dataType for f in got.schema] == [f.dataType for f in want.schema]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    # The two that lay the sides out, no more.
+    assert plan.count("Exchange") == 2 and "ENSURE_REQUIREMENTS" not in plan

@@ -1,11 +1,18 @@
 """What billing lines and reports read, shuffle and stage."""
 
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
-from tallyfold.fixed_values import HEADER_FIELDS, ITEM_FIELDS
+from tallyfold.fixed_values import (
+    HEADER_FIELDS,
+    ITEM_FIELDS,
+    REGISTER_FORCE_COLUMNS,
+    REGISTER_MATERIAL_COLUMNS,
+)
 from tallyfold.plans import billing, register, reports
+from tallyfold.session import Staged
 
 AS_OF = dt.date(2024, 5, 20)
 
@@ -110,3 +117,70 @@ def test_a_report_that_reads_daily_sales_once_does_not_stage_them(spark):
         total = built.daily_once.agg(F.sum("billing_amount")).first()[0]
         assert total == built.daily.agg(F.sum("billing_amount")).first()[0]
         assert all("/daily_sales-" in f for f in built.daily_once.inputFiles()) and built.staged.paths
+
+
+def test_a_hot_customer_keeps_daily_sales_out_of_buckets(spark, monkeypatch):
+    header, items = given(spark)
+    items = items.union(items).union(items)
+    assert billing.customer_buckets(header, items) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    monkeypatch.setattr(billing, "BUCKET_LINES", 1)
+    assert billing.customer_buckets(header, items) == 15
+    with reports.Reports(spark, {"VBRK": header, "VBRP": items}, reports.ReportOptions(as_of=AS_OF)) as built:
+        laid, tables = built.daily, list(built.staged.tables)
+        assert built.buckets == 15 and tables and all(spark.catalog.tableExists(t) for t in tables)
+        rows = sorted(map(str, laid.collect()))
+    assert not any(spark.catalog.tableExists(t) for t in tables)
+    monkeypatch.setattr(billing, "hot_keys", lambda df, keys: [(None,)] if keys == ["customer_code"] else [])
+    assert billing.customer_buckets(header, items) is None
+    with reports.Reports(spark, {"VBRK": header, "VBRP": items}, reports.ReportOptions(as_of=AS_OF)) as built:
+        assert sorted(map(str, built.daily.collect())) == rows and not built.staged.tables
+
+
+def test_the_register_groups_daily_sales_where_they_lie(spark):
+    """Sales by customer give the rows that sales without an order give, also where codes miss."""
+    headers = [
+        {"billing_document": str(d), "billing_date": day, "billing_type": kind, "customer_group": "DL", "customer_code": c}
+        for d, day, kind, c in (
+            (1, "20240502", "ZF2", "c1"), (2, "20240402", "ZF2", "c1"), (3, "20230502", "RE", "c1"),
+            (4, "20240503", "ZF2", "c2"), (5, "20240504", "ZF2", None), (6, "20240404", "ZF2", None),
+            (7, "20240505", "ZF2", "c2"), (2, "20240402", "ZF2", "c1"), (8, "20240512", "ZF2", "c1"),
+        )
+    ]
+    items = [
+        {"billing_document": d, "billing_item": "1", "net_value": n, "tax_amount": "0.50", "qty_in_kg": "2-",
+         "billed_quantity": "3", "material_code": m, "UoM": u}
+        for d, n, m, u in (
+            ("1", "10", "m1", "CV"), ("1", "7", "m1", "KG"), ("2", "20", "m1", "CV"), ("3", "30-", "m1", "CV"),
+            ("4", "40", "m2", "CV"), ("5", "50", None, "CV"), ("6", "60", "m2", "CV"), ("6", "1", None, None),
+            ("8", "5", "m1", "CV"), ("8", "5", "m1", "CV"),
+        )
+    ]
+    lines = billing.billing_lines(extract(spark, HEADER_FIELDS, headers), extract(spark, ITEM_FIELDS, items))
+    materials = extract(spark, {c.upper().replace("/", "_"): c for c in REGISTER_MATERIAL_COLUMNS.values()},
+                        [{"material_code": "m1", "product_brand": "b"}])
+    force = extract(spark, {c.upper(): c for c in REGISTER_FORCE_COLUMNS.values()},
+                    [{"customer_code": "c1", "region": "r"}, {"customer_code": "c2"}])
+    named = [df.toDF(*names) for df, names in (
+        (materials, REGISTER_MATERIAL_COLUMNS.values()), (force, REGISTER_FORCE_COLUMNS.values()))]
+    texts = spark.createDataFrame([("DL", "text")], "customer_group string, customer_group_description string")
+    focus = spark.createDataFrame([("rb", "Focus")], "key string, type string")
+    brands = spark.createDataFrame(
+        [(2024, "b", "80", 1.0, 2.0)],
+        "billing_fiscal_year int, product_brand string, `80/20 rule` string, brand_billing_amount double, contribution double",
+    )
+    staged = Staged(spark)
+    small = [staged.stage(df, "small") for df in (texts, focus, brands)]
+
+    def built(daily, **how):
+        return register.sales_register(daily, *named, *small, AS_OF, dt.date(2024, 4, 1), **how)
+
+    plain = built(staged.stage(billing.daily_sales(lines), "daily_sales"))
+    by = staged.stage_by(billing.daily_by_customer(lines, 11), "daily_sales", billing.CUSTOMER_KEY, 11)
+    laid = built(by, buckets=11)
+    assert laid.columns == plain.columns
+    rows = sorted(map(str, plain.collect()))
+    assert sorted(map(str, laid.collect())) == rows and len(rows) == 8
+    texts_of = [df._jdf.queryExecution().executedPlan().toString() for df in (plain, laid)]
+    shuffled = [len(re.findall(r"hashpartitioning\(customer_code#\d+, material_code", t)) for t in texts_of]
+    assert shuffled[0] and not shuffled[1] and "Union" in texts_of[1]
+    staged.release()
