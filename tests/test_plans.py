@@ -184,3 +184,25 @@ def test_the_register_groups_daily_sales_where_they_lie(spark):
     shuffled = [len(re.findall(r"hashpartitioning\(customer_code#\d+, material_code", t)) for t in texts_of]
     assert shuffled[0] and not shuffled[1] and "Union" in texts_of[1]
     staged.release()
+
+
+def test_unsigned_sales_are_summed_where_a_customer_lies(spark):
+    names = ("billing_document", "billing_date", "billing_type", "customer_group", "customer_code")
+    header = extract(spark, HEADER_FIELDS, [
+        dict(zip(names, row, strict=True))
+        for row in (("1", "20240501", "RE", "DL", "c"), ("2", "20240501", "ZF2", "DL", "c"), ("3", "20240501", "ZF2", "DL", None))
+    ])
+    items = extract(spark, ITEM_FIELDS, [
+        {"billing_document": d, "material_code": "m", "net_value": "1,000.00-", "tax_amount": "0", "billed_quantity": "1,200-"}
+        for d in ("1", "1", "2", "3")
+    ])
+    lines = billing.billing_lines(header, items, keep_sign=False)
+    laid, plain = billing.daily_by_customer(lines, 9), billing.daily_sales(lines)
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (plain, laid)]
+    # Only the shuffle by customer stands between the lines and their sums.
+    assert ["hashpartitioning(customer_group" in p for p in plans] == [True, False]
+    assert "hashpartitioning(customer_key" in plans[1]
+    rows = sorted(map(str, plain.collect()))
+    assert sorted(map(str, laid.drop(billing.CUSTOMER_KEY).collect())) == rows
+    got = sorted((r.customer_key, str(r.billing_amount), str(r.billed_quantity)) for r in laid.collect())
+    assert got == [(" ", "-1000.00", "1200.00"), ("c", "-3000.00", "3600.00")]
